@@ -48,10 +48,7 @@ def _days(micros: Column) -> Column:
     return micros.cast("decimal(20,0)") / exact
 
 
-def lookup(key: Column, values: Mapping[str, int]) -> Column:
-    """Value of a small fixed mapping for ``key``; NULL when absent."""
-    chain = None
-    for name, value in values.items():
-        hit = key == name
-        chain = F.when(hit, F.lit(value)) if chain is None else chain.when(hit, F.lit(value))
-    return chain
+def lookup(key: str, values: Mapping[str, int]) -> Column:
+    """Value of a small fixed mapping for the column ``key``; NULL when absent."""
+    cases = " ".join(f"WHEN '{name}' THEN {int(value)}" for name, value in values.items())
+    return F.expr(f"CASE {key} {cases} END")

@@ -25,7 +25,7 @@ def drug_codes(cdm: Cdm, codes: DataFrame) -> DataFrame:
     listed = codes.filter(F.col("category").isin(*DRUG_CATEGORIES)).select(
         F.col("concept_id").alias("ancestor_concept_id"), "category", "gest_value"
     )
-    below = cdm.concept_ancestor.join(broadcast_if_small(listed), "ancestor_concept_id").select(
+    below = cdm.concept_ancestor.join(listed, "ancestor_concept_id").select(
         F.col("descendant_concept_id").alias("concept_id"), "category", "gest_value"
     )
     drugs = cdm.concept.filter(F.col("concept_class_id").isin(*DRUG_CLASSES)).select("concept_id")
@@ -75,6 +75,7 @@ def counted_events(coded: DataFrame) -> DataFrame:
         day_of("start_date").alias("day"),
         gestation_days().alias("gest_value"),
     )
+    events = events.filter(F.col(PERSON).isNotNull())
     return count_copies(events, PERSON, "for_drug", "category", "day", "gest_value")
 
 
@@ -94,7 +95,8 @@ def clean_events(counted: DataFrame) -> DataFrame:
         glucose_only().alias("_glucose_only"),
         F.max(~F.col("for_drug") & F.col("_usable")).over(whole_person()).alias("_seen"),
     )
-    kept = F.col("_usable") & ~F.col("_glucose_only") & F.col("_seen")
+    # Every branch of a plan reads n here, so all of them share the shuffle by person.
+    kept = F.col("_usable") & ~F.col("_glucose_only") & F.col("_seen") & (F.col("n") > 0)
     return flagged.filter(kept).drop("_usable", "_glucose_only", "_seen")
 
 
@@ -103,13 +105,12 @@ def number_events(cleaned: DataFrame) -> DataFrame:
     return cleaned.withColumn("event_id", first_number("n", *EVENT_ORDER))
 
 
-def person_events(cdm: Cdm, codes: DataFrame) -> DataFrame:
+def person_events(counted: DataFrame) -> DataFrame:
     """All events of the persons kept: person, category, day, gest_value, n, event_id.
 
     ``n`` equal records form one row and take the numbers from ``event_id`` on.
     """
-    coded = map_codes(cdm.all_records(), code_map(cdm, codes))
-    return number_events(clean_events(counted_events(coded)))
+    return number_events(clean_events(counted))
 
 
 def numbered_events(events: DataFrame) -> DataFrame:

@@ -136,10 +136,9 @@ def judged_candidates(events: DataFrame, lookups: Lookups) -> DataFrame:
     Besides flags, this counts the person's records over the outcome's longest
     term and finds the latest term remarks up to 30 days after it.
     """
-    category = F.col("category")
     spans = sorted(set(lookups.max_term.values()))
     records = F.coalesce(
-        *(F.when(lookup(category, lookups.max_term) == s, total_within("n", "end_day", s)) for s in spans)
+        *(F.when(lookup("category", lookups.max_term) == s, total_within("n", "end_day", s)) for s in spans)
     )
     return (
         veto_flags(revise_days(split_candidates(_with_outcome(events))))
@@ -177,7 +176,8 @@ def gap_days(accepted_day: Column, candidate_day: Column) -> Column:
 
 def too_close(lookups: Lookups, options: Options):
     """Conflict test of an accepted outcome and a candidate."""
-    limits = F.array(*(F.lit(lookups.min_days[a, b]) for a in TARGETS for b in TARGETS))
+    days = [str(lookups.min_days[a, b]) for a in TARGETS for b in TARGETS]
+    limits = F.expr(f"array({', '.join(days)})")
     width = len(TARGETS)
 
     def limit(first: Column, following: Column) -> Column:
@@ -205,7 +205,7 @@ def accept_outcomes(
     Targets are accepted in their fixed order, each candidate being checked
     against all outcomes accepted so far.
     """
-    step = lookup(F.col("category"), {target: i for i, target in enumerate(TARGETS, 1)})
+    step = lookup("category", {target: i for i, target in enumerate(TARGETS, 1)})
     queue = (
         judged_candidates(events, lookups)
         .filter(admissible(options) & _is(*targets))
@@ -213,7 +213,7 @@ def accept_outcomes(
     )
     carried = [field for field in OUTCOME_FIELDS if field != "event_id"]
     accepted = greedy_accept(queue, ("step", "day", "event_id"), carried, too_close(lookups, options))
-    by_day = F.array_sort(
+    by_day = F.sort_array(
         F.transform("accepted", lambda c: F.struct(c["end_day"].alias("end_day"), c.alias("outcome")))
     )
     rows = accepted.select(PERSON, by_day.alias("_by_day"))

@@ -46,6 +46,8 @@ RULES = (
 DEFAULT_RANK = 99
 STRONGEST_REFINED_RANK = 7
 
+PACK = 1 << 32
+
 OUTCOME, EVIDENCE, QUERY = 1, 0, 2  # on one day, evidence is read first
 
 CARRIED = ("event_id", "category", "end_day", "records", "prem_day", "ft_day", "prior_day", "prior_category")
@@ -53,11 +55,11 @@ CARRIED = ("event_id", "category", "end_day", "records", "prem_day", "ft_day", "
 
 def window_of(lookups: Lookups, prior_day: Column) -> tuple[Column, Column]:
     """First and last day a pregnancy may start, given its outcome and the one before."""
-    category, end = F.col("category"), F.col("end_day")
+    end = F.col("end_day")
     first = F.greatest(
-        prior_day + lookup(category, lookups.retry), end - lookup(category, lookups.max_term)
+        prior_day + lookup("category", lookups.retry), end - lookup("category", lookups.max_term)
     )
-    return first, end - lookup(category, lookups.min_term)
+    return first, end - lookup("category", lookups.min_term)
 
 
 def evidence(events: DataFrame) -> DataFrame:
@@ -76,7 +78,6 @@ def evidence(events: DataFrame) -> DataFrame:
         "day",
         F.when(by_gestation, floor_day(micros)).otherwise(start).alias("start_floor"),
         F.when(by_gestation, ceil_day(micros)).otherwise(start).alias("start_ceil"),
-        F.when(by_gestation, micros).alias("start_micros"),
     )
 
 
@@ -132,20 +133,18 @@ def dated_outcomes(outcomes: DataFrame, events: DataFrame, lookups: Lookups) ->
         "day",
         "start_floor",
         "start_ceil",
-        "start_micros",
         F.when(F.col("kind") == QUERY, F.col("own")).otherwise(upcoming).alias("of"),
         F.when(F.col("kind") == QUERY, next_ovul2).alias("next_ovul2"),
     )
     flat = placed.filter("of IS NOT NULL").select(
-        PERSON, "of.*", "kind", "rule", "day", "start_floor", "start_ceil", "start_micros", "next_ovul2"
+        PERSON, "of.*", "kind", "rule", "day", "start_floor", "start_ceil", "next_ovul2"
     )
     first, last = window_of(lookups, F.col("prior_day"))
     inside = (F.col("start_floor") >= first) & (F.col("start_ceil") <= last)
     kept = flat.filter((F.col("kind") != EVIDENCE) | inside)
     picks = [_pick(rule).alias(rule.column) for rule in RULES if rule.name != "OVUL2"]
     asked = F.max(F.when(F.col("next_ovul2") <= last, F.col("next_ovul2")))
-    constant = [F.first(c).alias(c) for c in CARRIED if c != "event_id"]
-    return kept.groupBy(PERSON, "event_id").agg(*constant, *picks, asked.alias("ovul2_start"))
+    return kept.groupBy(PERSON, *CARRIED).agg(*picks, asked.alias("ovul2_start"))
 
 
 def _pick(rule: Rule) -> Column:
@@ -154,22 +153,23 @@ def _pick(rule: Rule) -> Column:
         return F.max(start)
     if rule.pick == EARLIEST:
         return F.min(start)
-    newest = F.when(F.col("rule") == rule.name, F.struct("day", "start_micros", "start_floor"))
-    return F.max(newest)["start_floor"]
+    # Latest evidence, then latest start, as one number: the aggregate stays in a hash table.
+    newest = F.when(F.col("rule") == rule.name, F.col("day") * PACK + F.col("start_floor") + PACK // 2)
+    return (F.pmod(F.max(newest), F.lit(PACK)) - PACK // 2).cast("int")
 
 
 def default_start(lookups: Lookups) -> tuple[Column, Column]:
     """Label and day of the start assumed from the usual length of the outcome."""
-    category, end, prior = F.col("category"), F.col("end_day"), F.col("prior_day")
-    since = F.greatest(prior, end - lookup(category, lookups.max_term))
+    end, prior = F.col("end_day"), F.col("prior_day")
+    since = F.greatest(prior, end - lookup("category", lookups.max_term))
     premature = F.coalesce(F.col("prem_day") >= since, F.lit(False))
     fullterm = F.coalesce(F.col("ft_day") >= since, F.lit(False))
     days = (
-        F.when(premature, lookup(category, lookups.preterm))
-        .when(fullterm, lookup(category, lookups.fullterm))
-        .otherwise(lookup(category, lookups.nodata))
+        F.when(premature, lookup("category", lookups.preterm))
+        .when(fullterm, lookup("category", lookups.fullterm))
+        .otherwise(lookup("category", lookups.nodata))
     )
-    start = F.greatest(prior + lookup(F.col("prior_category"), lookups.retry), end - days)
+    start = F.greatest(prior + lookup("prior_category", lookups.retry), end - days)
     return F.when(premature, "PREM").otherwise("DEFAULT"), start
 
 

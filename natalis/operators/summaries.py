@@ -47,7 +47,7 @@ def mother_table(episodes: DataFrame) -> DataFrame:
 
     Reads ``episodes`` more than once: pass a stored or checkpointed table.
     """
-    outcome = F.coalesce(lookup(F.col("original_outcome"), OUTCOME_CONCEPTS), F.lit(0))
+    outcome = F.coalesce(lookup("original_outcome", OUTCOME_CONCEPTS), F.lit(0))
     return add_global_number(episodes, "pregnancy_id", "person_id", "episode").select(
         "person_id",
         "pregnancy_id",

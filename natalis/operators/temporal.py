@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from natalis.sources.tables import cut_lineage
+
 PERSON = "person_id"
 
 # A broadcast table is counted first and may hold this many rows (some 30 MB of codes).
@@ -23,11 +25,12 @@ COPIES_PER_CHUNK = 10_000
 def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Ask for a broadcast once the table is known to be small.
 
-    Beyond ``max_rows`` the table comes back as it is: the join then shuffles,
+    The table is stored first, so that the check and all uses compute it once.
+    Beyond ``max_rows`` it comes back without a hint: the join then shuffles,
     and adaptive execution splits the skewed partitions.
     """
-    small = table.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(table) if small else table
+    stored = cut_lineage(table)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
 def count_copies(rows: DataFrame, *keys: str | Column) -> DataFrame:
@@ -98,7 +101,7 @@ def greedy_accept(
     Callers pass one candidate per person, category and day, which bounds a
     person's array by the calendar whatever the number of records.
     """
-    queue = F.array_sort(F.collect_list(F.struct(*order, *carried)))
+    queue = F.sort_array(F.collect_list(F.struct(*order, *carried)))
     per_person = candidates.groupBy(PERSON).agg(queue.alias("_queue"))
 
     def step(kept: Column, candidate: Column) -> Column:

@@ -23,7 +23,7 @@ from natalis.sources.tables import cut_lineage
 class EpisodePlan:
     """Each stage of the run as a DataFrame; nothing runs before an action.
 
-    ``store_events`` writes the numbered events to the checkpoint folder, which
+    ``store_events`` writes the counted events to the checkpoint folder, which
     pays off when several stages are computed from one plan.
     """
 
@@ -33,10 +33,15 @@ class EpisodePlan:
     options: Options = field(default_factory=Options)
     store_events: bool = False
 
+    @cached_property
+    def counted(self) -> DataFrame:
+        mapping = ev.code_map(self.cdm, self.codes)
+        counted = ev.counted_events(ev.map_codes(self.cdm.all_records(), mapping))
+        return cut_lineage(counted) if self.store_events else counted
+
     @cached_property
     def events(self) -> DataFrame:
-        numbered = ev.person_events(self.cdm, self.codes)
-        return cut_lineage(numbered) if self.store_events else numbered
+        return ev.person_events(self.counted)
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -44,10 +49,11 @@ class EpisodePlan:
 
     @cached_property
     def self_numbered(self) -> DataFrame:
-        """Outcomes numbered like their person, found among persons with that many events."""
+        """Outcomes numbered like their person, looked for where a person has that many records."""
         total = F.sum("n").over(whole_person())
-        few = self.events.withColumn("_total", total).filter(F.col(PERSON).between(1, F.col("_total")))
-        return st.self_numbered(oc.accept_outcomes(few.drop("_total"), self.lookups, self.options))
+        few = self.counted.withColumn("_total", total).filter(F.col(PERSON) <= F.col("_total"))
+        events = ev.person_events(few.drop("_total"))
+        return st.self_numbered(oc.accept_outcomes(events, self.lookups, self.options))
 
     @cached_property
     def dated(self) -> DataFrame:
