@@ -55,8 +55,8 @@ def mother_table(episodes: DataFrame) -> DataFrame:
         F.col("episode_end_date").alias("pregnancy_end_date"),
         F.col("episode_length").alias("gestational_length_in_day"),
         outcome.cast("double").alias("original_outcome"),
-        F.lit(None).cast("boolean").alias("pregnancy_mode_delivery"),
-        F.lit(None).cast("boolean").alias("pregnancy_single"),
+        F.lit(None).cast("int").alias("pregnancy_mode_delivery"),
+        F.lit(None).cast("int").alias("pregnancy_single"),
         (F.col("episode") - 1).alias("prev_pregnancy_gravidity"),
     )
 
