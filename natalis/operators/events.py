@@ -17,7 +17,8 @@ from natalis.operators.temporal import (
 )
 from natalis.sources.cdm import DRUG, MEASUREMENT, NUMBER, OBSERVATION, Cdm
 
-EVENT_ORDER = ("day", "category", F.col("gest_value").asc_nulls_first())
+# Equal events aside, this order is total; a missing gestation comes first.
+EVENT_ORDER = ("day", "category", "gest_value")
 
 
 def drug_codes(cdm: Cdm, codes: DataFrame) -> DataFrame:

@@ -123,33 +123,26 @@ def care_after(day: str) -> Column:
     return F.coalesce(last > F.col(day), F.lit(False))
 
 
-def veto_flags(revised: DataFrame) -> DataFrame:
-    """Add ``cared_before`` and ``cared_after`` relative to the revised day."""
-    return revised.select(
-        "*", care_before("end_day").alias("cared_before"), care_after("end_day").alias("cared_after")
-    )
-
-
 def judged_candidates(events: DataFrame, lookups: Lookups) -> DataFrame:
     """Candidates of all targets with everything that does not depend on other outcomes.
 
     Besides flags, this counts the person's records over the outcome's longest
-    term and finds the latest term remarks up to 30 days after it.
+    term and finds the latest term remarks up to 30 days after it. All are read
+    in one walk over the person's events by revised day.
     """
-    spans = sorted(set(lookups.max_term.values()))
+    spans = sorted(set(lookups.max_term[target] for target in TARGETS))
     records = F.coalesce(
         *(F.when(lookup("category", lookups.max_term) == s, total_within("n", "end_day", s)) for s in spans)
     )
-    return (
-        veto_flags(revise_days(split_candidates(_with_outcome(events))))
-        .select(
-            "*",
-            records.alias("records"),
-            latest_day(_is("PREM"), "end_day", AFTERCARE_DAYS).alias("prem_day"),
-            latest_day(_is("FT"), "end_day", AFTERCARE_DAYS).alias("ft_day"),
-        )
-        .filter(F.col("candidate") & _is(*TARGETS))
-    )
+    revised = revise_days(split_candidates(_with_outcome(events)))
+    return revised.select(
+        "*",
+        care_before("end_day").alias("cared_before"),
+        care_after("end_day").alias("cared_after"),
+        records.alias("records"),
+        latest_day(_is("PREM"), "end_day", AFTERCARE_DAYS).alias("prem_day"),
+        latest_day(_is("FT"), "end_day", AFTERCARE_DAYS).alias("ft_day"),
+    ).filter(F.col("candidate") & _is(*TARGETS))
 
 
 def _with_outcome(events: DataFrame) -> DataFrame:
