@@ -41,7 +41,9 @@ def main() -> None:
     spark = session(
         "bench",
         f"local[{CPUS}]",
-        spark__sql__shuffle__partitions=CPUS,
+        spark__sql__shuffle__partitions=str(2 * int(CPUS)),
+        # The small tables would else end up in fewer partitions than there are cores.
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="8m",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"),
         spark__ui__showConsoleProgress="false",
     )

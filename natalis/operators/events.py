@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from natalis.functions.classify import DRUG_CATEGORIES, DRUG_CLASSES, matches_value, usable_event
+from natalis.functions.classify import DRUG_CATEGORIES, DRUG_CLASSES, TARGETS, matches_value, usable_event
 from natalis.functions.days import date_of, day_of
 from natalis.operators.temporal import (
     PERSON,
@@ -89,12 +89,18 @@ def glucose_only() -> Column:
 
 
 def clean_events(counted: DataFrame) -> DataFrame:
-    """Drop glucose-only persons, unusable gestation records and drugs of unseen persons."""
+    """Drop glucose-only persons, unusable gestation records and drugs of unseen persons.
+
+    Adds ``person_records``, the records the person had before, and
+    ``has_target``, whether the person has an outcome that can be accepted.
+    """
     usable = F.col("for_drug") | usable_event(F.col("category"), F.col("gest_value"))
     flagged = counted.withColumn("_usable", F.coalesce(usable, F.lit(False))).select(
         "*",
         glucose_only().alias("_glucose_only"),
         F.max(~F.col("for_drug") & F.col("_usable")).over(whole_person()).alias("_seen"),
+        F.max(F.col("category").isin(*TARGETS)).over(whole_person()).alias("has_target"),
+        F.sum("n").over(whole_person()).alias("person_records"),
     )
     # Every branch of a plan reads n here, so all of them share the shuffle by person.
     kept = F.col("_usable") & ~F.col("_glucose_only") & F.col("_seen") & (F.col("n") > 0)
@@ -102,16 +108,14 @@ def clean_events(counted: DataFrame) -> DataFrame:
 
 
 def number_events(cleaned: DataFrame) -> DataFrame:
-    """Give each event the number of its first copy in date order."""
-    return cleaned.withColumn("event_id", first_number("n", *EVENT_ORDER))
-
+    """Give each event the number of its first copy in date order.
 
-def person_events(counted: DataFrame) -> DataFrame:
-    """All events of the persons kept: person, category, day, gest_value, n, event_id.
-
-    ``n`` equal records form one row and take the numbers from ``event_id`` on.
+    Returns person, category, day, gest_value, n and event_id: ``n`` equal
+    records form one row and take the numbers from ``event_id`` on.
     """
-    return number_events(clean_events(counted))
+    return cleaned.select(
+        PERSON, "category", "day", "gest_value", "n", first_number("n", *EVENT_ORDER).alias("event_id")
+    )
 
 
 def numbered_events(events: DataFrame) -> DataFrame:

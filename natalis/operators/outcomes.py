@@ -134,7 +134,7 @@ def judged_candidates(events: DataFrame, lookups: Lookups) -> DataFrame:
     records = F.coalesce(
         *(F.when(lookup("category", lookups.max_term) == s, total_within("n", "end_day", s)) for s in spans)
     )
-    revised = revise_days(split_candidates(_with_outcome(events)))
+    revised = revise_days(split_candidates(events))
     return revised.select(
         "*",
         care_before("end_day").alias("cared_before"),
@@ -145,12 +145,6 @@ def judged_candidates(events: DataFrame, lookups: Lookups) -> DataFrame:
     ).filter(F.col("candidate") & _is(*TARGETS))
 
 
-def _with_outcome(events: DataFrame) -> DataFrame:
-    """Events of the persons who have any target at all."""
-    any_target = F.max(_is(*TARGETS)).over(whole_person())
-    return events.withColumn("_any", any_target).filter("_any").drop("_any")
-
-
 def admissible(options: Options) -> Column:
     """Whether a candidate passes the rules on evidence and antenatal care."""
     care = F.col("cared_before") if options.sb_veto == "back" else F.col("cared_after")

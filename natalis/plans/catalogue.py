@@ -60,7 +60,7 @@ def glucose_only_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gestation_to_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events other than drugs with gestation in days, and the number of equal ones."""
-    cleaned = ev.clean_events(plan_of(spark, sf_dir).counted).filter(~F.col("for_drug"))
+    cleaned = plan_of(spark, sf_dir).cleaned.filter(~F.col("for_drug"))
     return cleaned.select(
         PERSON,
         "category",
@@ -83,7 +83,7 @@ def drug_hierarchy_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drug_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drug events of persons with other events, and the number of equal ones."""
-    cleaned = ev.clean_events(plan_of(spark, sf_dir).counted).filter("for_drug")
+    cleaned = plan_of(spark, sf_dir).cleaned.filter("for_drug")
     return cleaned.select(PERSON, "category", date_of("day").alias("event_date"), "n")
 
 
@@ -95,7 +95,7 @@ def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candidate_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct events judged per target."""
-    return oc.candidate_events(plan_of(spark, sf_dir).events).select(
+    return oc.candidate_events(plan_of(spark, sf_dir).telling).select(
         "target",
         PERSON,
         "event_id",
@@ -107,12 +107,12 @@ def candidate_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earliest candidate per person and target."""
-    firsts = oc.first_candidates(oc.candidate_events(plan_of(spark, sf_dir).events))
+    firsts = oc.first_candidates(oc.candidate_events(plan_of(spark, sf_dir).telling))
     return firsts.select("target", PERSON, "event_id", date_of("day").alias("event_date"))
 
 
 def _revised(spark: SparkSession, sf_dir: str, *categories: str) -> DataFrame:
-    revised = oc.revise_days(oc.split_candidates(plan_of(spark, sf_dir).events))
+    revised = oc.revise_days(oc.split_candidates(plan_of(spark, sf_dir).telling))
     return revised.filter(F.col("candidate") & F.col("category").isin(*categories))
 
 
@@ -144,7 +144,7 @@ def required_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vetoed(spark: SparkSession, sf_dir: str, flag: str, *categories: str) -> DataFrame:
     plan = plan_of(spark, sf_dir)
-    judged = oc.judged_candidates(plan.events, plan.lookups)
+    judged = oc.judged_candidates(plan.telling, plan.lookups)
     return judged.filter(F.col(flag) & F.col("category").isin(*categories)).select(
         PERSON, "event_id", "category", date_of("end_day").alias("event_date")
     )
@@ -166,10 +166,10 @@ def spacing_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     The nearest live birth on a side has the smallest gap, so no pairs are made.
     """
     plan = plan_of(spark, sf_dir, FORWARD)
-    births = oc.accept_outcomes(plan.events, plan.lookups, plan.options, ("LB",)).select(
+    births = oc.accept_outcomes(plan.telling, plan.lookups, plan.options, ("LB",)).select(
         PERSON, "event_id", F.lit("LB").alias("category"), "end_day"
     )
-    others = oc.judged_candidates(plan.events, plan.lookups).filter("category <> 'LB'")
+    others = oc.judged_candidates(plan.telling, plan.lookups).filter("category <> 'LB'")
     line = births.unionByName(others.select(PERSON, "event_id", "category", "end_day"))
     birth = F.col("category") == "LB"
     sided = line.withColumn("back_day", -F.col("end_day")).select(
@@ -196,7 +196,7 @@ def spacing_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _accepted(options: Options, *targets: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         plan = plan_of(spark, sf_dir, options)
-        accepted = oc.accept_outcomes(plan.events, plan.lookups, plan.options, targets)
+        accepted = oc.accept_outcomes(plan.telling, plan.lookups, plan.options, targets)
         return accepted.select(PERSON, "event_id", "category", date_of("end_day").alias("event_date"))
 
     return query

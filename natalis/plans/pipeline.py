@@ -13,7 +13,7 @@ from natalis.operators import episodes as ep
 from natalis.operators import events as ev
 from natalis.operators import outcomes as oc
 from natalis.operators import starts as st
-from natalis.operators.temporal import PERSON, whole_person
+from natalis.operators.temporal import PERSON
 from natalis.options import Options
 from natalis.sources.cdm import Cdm
 from natalis.sources.tables import cut_lineage
@@ -39,27 +39,40 @@ class EpisodePlan:
         counted = ev.counted_events(ev.map_codes(self.cdm.all_records(), mapping))
         return cut_lineage(counted) if self.store_events else counted
 
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        return ev.clean_events(self.counted)
+
     @cached_property
     def events(self) -> DataFrame:
-        return ev.person_events(self.counted)
+        return ev.number_events(self.cleaned)
+
+    @cached_property
+    def telling(self) -> DataFrame:
+        """Events of the persons who have any outcome to be accepted."""
+        return ev.number_events(self.cleaned.filter("has_target"))
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        return oc.accept_outcomes(self.events, self.lookups, self.options)
+        return oc.accept_outcomes(self.telling, self.lookups, self.options)
 
     @cached_property
     def self_numbered(self) -> DataFrame:
-        """Outcomes numbered like their person, looked for where a person has that many records."""
-        total = F.sum("n").over(whole_person())
-        few = self.counted.withColumn("_total", total).filter(F.col(PERSON) <= F.col("_total"))
-        events = ev.person_events(few.drop("_total"))
-        return st.self_numbered(oc.accept_outcomes(events, self.lookups, self.options))
+        """Outcomes numbered like their person, looked for where a person has that many records.
+
+        The closing shuffle is of a few rows: it keeps the work that finds them
+        out of the time allowed to the broadcast they go into.
+        """
+        many = F.col("has_target") & (F.col(PERSON) <= F.col("person_records"))
+        few = ev.number_events(self.cleaned.filter(many))
+        found = st.self_numbered(oc.accept_outcomes(few, self.lookups, self.options))
+        return found.repartition("event_id")
 
     @cached_property
     def dated(self) -> DataFrame:
         lent = None if self.options.ovul2_join == "person" else self.self_numbered
         asked = st.ovul2_windows(self.outcomes, self.lookups, self.options, lent)
-        dated = st.dated_outcomes(asked, self.events, self.lookups)
+        dated = st.dated_outcomes(asked, self.telling, self.lookups)
         return st.add_refined(st.add_starts(dated, self.lookups))
 
     @cached_property

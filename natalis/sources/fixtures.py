@@ -129,12 +129,19 @@ def code_set(spark: SparkSession) -> DataFrame:
 
 
 def persons(customers: DataFrame) -> DataFrame:
+    """Sex and year of birth by customer key.
+
+    They come out of a generator to stand for stored columns: as plain
+    expressions of the key, a filter on sex would turn into a filter on the
+    person ids of the facts, in some branches of a plan and not in others, and
+    the facts would be scanned once for each.
+    """
     key = F.col("c_custkey")
-    return customers.select(
-        key.alias("person_id"),
+    traits = F.struct(
         F.when(key % 10 == 0, 8507).otherwise(8532).alias("gender_concept_id"),
         (1940 + (key * 7) % 50).cast("int").alias("year_of_birth"),
     )
+    return customers.select(key.alias("person_id"), F.inline(F.array(traits)))
 
 
 def observation_periods(customers: DataFrame) -> DataFrame:
