@@ -49,6 +49,7 @@ SA       70      70       70       70
 LIMIT_SCHEMA = "outcome_limit_id int, first_preg_category string, outcome_preg_category string, min_days int"
 TERM_SCHEMA = "category string, max_term int, min_term int, retry int"
 EST_SCHEMA = "gest_est_id int, category string, preterm int, postterm int, fullterm int, nodata int"
+SCHEMAS = {"outcome_limit": LIMIT_SCHEMA, "term_durations": TERM_SCHEMA, "gest_est": EST_SCHEMA}
 
 MAX_LOOKUP_ROWS = 1000
 
@@ -80,12 +81,20 @@ class Lookups:
     @classmethod
     def from_csv(cls, spark: SparkSession, folder: str) -> Lookups:
         """Read edited tables: outcome_limit.csv, term_durations.csv and gest_est.csv."""
-        limits = _small(read_csv(spark, folder, "outcome_limit", LIMIT_SCHEMA))
-        return cls._of(
-            {(r["first_preg_category"], r["outcome_preg_category"]): r["min_days"] for r in limits},
-            _small(read_csv(spark, folder, "term_durations", TERM_SCHEMA)),
-            _small(read_csv(spark, folder, "gest_est", EST_SCHEMA)),
-        )
+        return cls._read({name: read_csv(spark, folder, name, schema) for name, schema in SCHEMAS.items()})
+
+    @classmethod
+    def from_tables(cls, spark: SparkSession, schema: str) -> Lookups:
+        """Read the tables stored in ``schema``."""
+        return cls._read({name: spark.table(f"{schema}.{name}") for name in SCHEMAS})
+
+    @classmethod
+    def _read(cls, tables: Mapping[str, DataFrame]) -> Lookups:
+        rows = {name: _small(table) for name, table in tables.items()}
+        limits = {
+            (r["first_preg_category"], r["outcome_preg_category"]): r["min_days"] for r in rows["outcome_limit"]
+        }
+        return cls._of(limits, rows["term_durations"], rows["gest_est"])
 
     @classmethod
     def _of(cls, limits: Mapping, terms: Iterable[Mapping], estimates: Iterable[Mapping]) -> Lookups:
@@ -106,11 +115,8 @@ class Lookups:
             (i, c, self.preterm[c], self.postterm[c], self.fullterm[c], self.nodata[c])
             for i, c in enumerate(self.preterm, 1)
         ]
-        return {
-            "outcome_limit": values(spark, limits, LIMIT_SCHEMA),
-            "term_durations": values(spark, terms, TERM_SCHEMA),
-            "gest_est": values(spark, estimates, EST_SCHEMA),
-        }
+        rows = {"outcome_limit": limits, "term_durations": terms, "gest_est": estimates}
+        return {name: values(spark, rows[name], schema) for name, schema in SCHEMAS.items()}
 
 
 def read_csv(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:

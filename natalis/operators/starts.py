@@ -189,15 +189,17 @@ def add_starts(dated: DataFrame, lookups: Lookups) -> DataFrame:
 
 
 def refined_day() -> Column:
-    """Best start moved back to first care or forward to the end of contraception."""
+    """Best start, moved back to first care and on to the end of contraception.
+
+    With both known, contraception counts unless care points to the best day
+    itself; when both point to the same earlier day the best start stays.
+    """
     best, push, stop = F.col("best.start_day"), F.col("pushback_start"), F.col("contra_start")
-    back, free = push < best, stop > best
     return (
-        F.when(stop.isNull() & back, push)
-        .when(push.isNull() & free, stop)
-        .when(back & (stop < push), push)
-        .when(back & (stop > push), stop)
-        .when(free & (push > best), stop)
+        F.when(push.isNull(), F.greatest(best, stop))
+        .when(stop.isNull(), F.least(best, push))
+        .when((push < best) & (push != stop), F.greatest(push, stop))
+        .when(push > best, F.greatest(best, stop))
         .otherwise(best)
     )
 

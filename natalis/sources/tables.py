@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-from natalis.lookups import Lookups
+from natalis.lookups import SCHEMAS, Lookups, read_csv
 
 # Result columns and types; "datetime" of the source design holds whole days.
 EPISODE_COLUMNS = (
@@ -27,6 +27,18 @@ def write_lookups(spark: SparkSession, lookups: Lookups, schema: str) -> None:
         table.write.mode("overwrite").saveAsTable(f"{schema}.{name}")
 
 
+def load_lookups(spark: SparkSession, folder: str, schema: str) -> None:
+    """Store the lookup files of ``folder`` as tables of ``schema``, replacing those present."""
+    for name, columns in SCHEMAS.items():
+        read_csv(spark, folder, name, columns).write.mode("overwrite").saveAsTable(f"{schema}.{name}")
+
+
+def create_episodes(spark: SparkSession, table: str) -> None:
+    """An empty result table, replacing the one present."""
+    columns = ", ".join(f"{name} {kind}" for name, kind in EPISODE_COLUMNS)
+    spark.createDataFrame([], columns).write.mode("overwrite").saveAsTable(table)
+
+
 def write_episodes(episodes: DataFrame, table: str, mode: str = "overwrite") -> None:
     """Store episodes as a table; ``append`` adds them to those of earlier runs."""
     shaped = episodes.selectExpr(*(f"CAST({name} AS {kind}) AS {name}" for name, kind in EPISODE_COLUMNS))
@@ -42,7 +54,11 @@ def write_csv(summary: DataFrame, path: str) -> None:
 
 
 def cut_lineage(table: DataFrame) -> DataFrame:
-    """Store ``table`` in the shared checkpoint folder and go on from there."""
+    """Store ``table`` in the shared checkpoint folder and go on from there.
+
+    The folder is the session's ``spark.checkpoint.dir``. Without one a local
+    session uses a temporary folder, and a cluster goes on with the table uncut.
+    """
     spark = table.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -50,6 +66,6 @@ def cut_lineage(table: DataFrame) -> DataFrame:
         if folder is None and context.master.startswith("local"):
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+            return table
         context.setCheckpointDir(folder)
     return table.checkpoint()

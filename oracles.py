@@ -1,8 +1,8 @@
 """SQL equivalents of the registered queries, for DuckDB over the driver's tables.
 
-Written the long way on purpose: one row per record, joins of a person's events
-with each other, one pick per rule, and a recursive walk that carries the
-accepted outcomes. The engine does none of these.
+Written another way on purpose: one row per record, joins of a person's events
+with each other, and a recursive walk that carries the accepted outcomes. The
+engine does none of these.
 """
 
 from __future__ import annotations
@@ -39,26 +39,6 @@ facts AS MATERIALIZED (
 pregnancy_concepts AS (
   SELECT * FROM (VALUES {_codes()}) AS t(concept_id, category, gest_value, data_value)
 ),
-condition_occurrence AS (
-  SELECT person_id, concept_id AS condition_concept_id, d AS condition_start_date FROM facts WHERE dom IN (0, 1, 2, 3)
-),
-procedure_occurrence AS (
-  SELECT person_id, concept_id AS procedure_concept_id, d AS procedure_date FROM facts WHERE dom IN (4, 5)
-),
-observation AS (
-  SELECT person_id, concept_id AS observation_concept_id, d AS observation_date, flag AS value_as_string,
-         CASE WHEN qty % 3 = 0 THEN qty END AS value_as_number
-  FROM facts WHERE dom = 6
-),
-measurement AS (
-  SELECT person_id, concept_id AS measurement_concept_id, d AS measurement_date, flag AS value_source_value,
-         CASE WHEN qty % 3 = 0 THEN qty END AS value_as_number
-  FROM facts WHERE dom = 7
-),
-drug_exposure AS (
-  SELECT person_id, CAST(1000 + l_partkey % 40 AS INTEGER) AS drug_concept_id, d AS drug_exposure_start_date
-  FROM facts WHERE dom IN (8, 9)
-),
 concept AS (
   SELECT CAST(i AS INTEGER) AS concept_id,
          CASE WHEN i = 1040 THEN 'Dose Form' WHEN i % 2 = 0 THEN 'Ingredient' ELSE 'Clinical Drug' END AS concept_class_id
@@ -89,20 +69,12 @@ observation_period AS (
 
 RAW = INPUTS + """,
 raw_events AS MATERIALIZED (
-  SELECT c.category, c.gest_value, person_id, condition_start_date AS start_date, 'Cond' AS type,
-         ' ' AS value_as_string, CAST(NULL AS INTEGER) AS value_as_number
-  FROM condition_occurrence JOIN pregnancy_concepts c ON condition_concept_id = c.concept_id
-  UNION ALL
-  SELECT c.category, c.gest_value, person_id, procedure_date, 'Proc', ' ', NULL
-  FROM procedure_occurrence JOIN pregnancy_concepts c ON procedure_concept_id = c.concept_id
-  UNION ALL
-  SELECT c.category, c.gest_value, person_id, observation_date, 'Obs', value_as_string, value_as_number
-  FROM observation JOIN pregnancy_concepts c ON observation_concept_id = c.concept_id
-  WHERE c.data_value = 'N/A' OR c.data_value = value_as_string
-  UNION ALL
-  SELECT c.category, c.gest_value, person_id, measurement_date, 'Meas', value_source_value, value_as_number
-  FROM measurement JOIN pregnancy_concepts c ON measurement_concept_id = c.concept_id
-  WHERE c.data_value = 'N/A' OR c.data_value = value_source_value
+  SELECT c.category, c.gest_value, f.person_id, f.d AS start_date,
+         CASE WHEN dom < 4 THEN 'Cond' WHEN dom < 6 THEN 'Proc' WHEN dom = 6 THEN 'Obs' ELSE 'Meas' END AS type,
+         CASE WHEN dom < 6 THEN ' ' ELSE flag END AS value_as_string,
+         CASE WHEN dom >= 6 AND qty % 3 = 0 THEN qty END AS value_as_number
+  FROM facts f JOIN pregnancy_concepts c USING (concept_id)
+  WHERE dom < 8 AND (dom < 6 OR c.data_value IN ('N/A', flag))
 ),
 glucose_only AS (
   SELECT person_id, count(*) AS n_records FROM raw_events
@@ -112,23 +84,20 @@ glucose_only AS (
 EVENTS = RAW + """,
 nondrug AS MATERIALIZED (
   SELECT person_id, category, start_date, gest_value FROM (
-    SELECT person_id, category, start_date,
-           CASE WHEN category = 'GEST' THEN 7 * coalesce(value_as_number, gest_value) END AS gest_value
-    FROM raw_events WHERE person_id NOT IN (SELECT person_id FROM glucose_only)
-  ) WHERE NOT (category = 'GEST' AND (gest_value IS NULL OR gest_value > 301))
+    SELECT * EXCLUDE (gest_value), if(category = 'GEST', 7 * coalesce(value_as_number, gest_value), NULL) AS gest_value
+    FROM raw_events ANTI JOIN glucose_only USING (person_id)
+  ) WHERE category <> 'GEST' OR gest_value <= 301
 ),
 drug_concepts AS (
-  SELECT c.concept_id, p.category, p.gest_value
-  FROM pregnancy_concepts p
-  JOIN concept_ancestor a ON a.ancestor_concept_id = p.concept_id
-  JOIN concept c ON c.concept_id = a.descendant_concept_id
-  WHERE p.category IN ('CONTRA', 'MTX', 'OVULDR')
-    AND c.concept_class_id IN ('Branded Drug', 'Branded Pack', 'Clinical Drug', 'Clinical Pack', 'Ingredient')
+  SELECT a.descendant_concept_id AS concept_id, p.category, p.gest_value
+  FROM concept_ancestor a JOIN pregnancy_concepts p ON p.concept_id = a.ancestor_concept_id
+  SEMI JOIN (SELECT * FROM concept WHERE concept_class_id <> 'Dose Form') c ON c.concept_id = a.descendant_concept_id
 ),
 drugs AS (
-  SELECT x.person_id, dc.category, x.drug_exposure_start_date AS start_date, dc.gest_value
-  FROM drug_exposure x JOIN drug_concepts dc ON dc.concept_id = x.drug_concept_id
-  WHERE x.person_id IN (SELECT person_id FROM nondrug)
+  SELECT f.person_id, dc.category, f.d AS start_date, dc.gest_value
+  FROM facts f JOIN drug_concepts dc ON dc.concept_id = 1000 + f.l_partkey % 40
+  SEMI JOIN nondrug n ON n.person_id = f.person_id
+  WHERE f.dom >= 8
 ),
 pregnancy_events AS MATERIALIZED (
   SELECT person_id,
@@ -257,153 +226,142 @@ gest_est AS (
   )}) AS t(category, preterm, fullterm, nodata)
 ),
 prior AS MATERIALIZED (
-  SELECT person_id, event_id, prior_date, prior_category FROM (
-    SELECT o.person_id, o.event_id, p.event_date AS prior_date, p.category AS prior_category,
-           row_number() OVER (PARTITION BY o.person_id, o.event_id ORDER BY p.event_date DESC) AS rn
-    FROM accepted o LEFT JOIN accepted p ON p.person_id = o.person_id AND o.event_date > p.event_date
-  ) WHERE rn = 1
-)"""
-
-
-def _rule(name: str, categories: tuple[str, ...], start: str, order: str, join: str = "pod.person_id = e.person_id") -> str:
-    """Starts one rule finds, best piece of evidence per outcome."""
-    return f"""
-s_{name.lower()} AS MATERIALIZED (
-  SELECT person_id, event_id, episode_start_date FROM (
-    SELECT e.person_id, e.event_id, {start} AS episode_start_date,
-           row_number() OVER (PARTITION BY e.person_id, e.event_id ORDER BY {order}) AS rn
-    FROM accepted e
-    JOIN term_durations t ON t.category = e.category
-    JOIN prior pod ON {join} AND pod.event_id = e.event_id
-    JOIN moved p ON p.person_id = e.person_id AND p.category IN ({_quoted(categories)})
-    WHERE {start} BETWEEN
-      CASE WHEN pod.prior_date + t.retry > e.event_date - t.max_term THEN pod.prior_date + t.retry
-           ELSE e.event_date - t.max_term END
-      AND e.event_date - t.min_term
-  ) WHERE rn = 1
+  SELECT o.person_id, o.event_id, p.event_date AS prior_date, p.category AS prior_category
+  FROM accepted o ASOF LEFT JOIN accepted p ON p.person_id = o.person_id AND o.event_date > p.event_date
 )"""
 
 
-LATEST, EARLIEST = "p.event_date DESC", "p.event_date"
-_RULES = [
-    ("LMP", 1, ("LMP",), "p.event_date", LATEST),
-    ("GEST", 2, ("GEST",), "p.event_date - CAST(p.gest_value AS INTEGER) + 1", LATEST + ", p.gest_value"),
-    ("OVUL", 3, ("OVUL",), "p.event_date - 13", EARLIEST),
-    ("OVUL2", 4, ("OVUL2",), "p.event_date - 13", EARLIEST),
-    ("NULS", 6, ("NULS",), "p.event_date - 89", EARLIEST),
-    ("AFP", 7, ("AFP",), "p.event_date - 123", EARLIEST),
-    ("AMEN", 80, ("AMEN",), "p.event_date - 55", EARLIEST),
-    ("UP", 90, ("UP",), "p.event_date - 55", EARLIEST),
-    ("PUSHBACK", None, ("PCONF", "AGP", "PCOMP", "TA"), "p.event_date - 55", EARLIEST),
-    ("CONTRA", None, ("CONTRA",), "p.event_date", LATEST),
-]
-
-_DEFAULT = """
-s_default AS MATERIALIZED (
-  SELECT c.person_id, c.event_id,
-         CASE WHEN pod.prior_date + t.retry > c.event_date - days THEN pod.prior_date + t.retry
-              ELSE c.event_date - days END AS episode_start_date,
-         label AS start_category
-  FROM (
-    SELECT x.*, CASE WHEN pre > 0 THEN g.preterm WHEN ft > 0 THEN g.fullterm ELSE g.nodata END AS days,
-           CASE WHEN pre > 0 THEN 'PREM' ELSE 'DEFAULT' END AS label
-    FROM (
-      SELECT e.person_id, e.event_id, e.event_date, e.category,
-             count(*) FILTER (WHERE p.category = 'PREM') AS pre, count(*) FILTER (WHERE p.category = 'FT') AS ft
-      FROM accepted e
-      JOIN term_durations t ON t.category = e.category
-      JOIN prior pod ON pod.person_id = e.person_id AND pod.event_id = e.event_id
-      JOIN moved p ON p.person_id = e.person_id
-      WHERE p.event_date BETWEEN
-        CASE WHEN pod.prior_date > e.event_date - t.max_term THEN pod.prior_date ELSE e.event_date - t.max_term END
-        AND e.event_date + 30
-      GROUP BY ALL
-    ) x JOIN gest_est g ON g.category = x.category
-  ) c
-  FULL JOIN prior pod ON pod.person_id = c.person_id AND pod.event_id = c.event_id
-  FULL JOIN term_durations t ON t.category = pod.prior_category
-  WHERE c.person_id IS NOT NULL
-)"""
+# Rule, rank, evidence and the days from a start to its evidence.
+_RULES = (
+    ("LMP", 1, ("LMP",), 0),
+    ("GEST", 2, ("GEST",), 0),
+    ("OVUL", 3, ("OVUL",), 13),
+    ("OVUL2", 4, ("OVUL2",), 13),
+    ("NULS", 6, ("NULS",), 89),
+    ("AFP", 7, ("AFP",), 123),
+    ("AMEN", 80, ("AMEN",), 55),
+    ("UP", 90, ("UP",), 55),
+    ("PUSHBACK", None, ("PCONF", "AGP", "PCOMP", "TA"), 55),
+    ("CONTRA", None, ("CONTRA",), 0),
+)
 
 
 def _starts(own_prior: bool) -> str:
-    parts = []
-    for name, _, categories, start, order in _RULES:
-        borrowed = name == "OVUL2" and not own_prior
-        join = "pod.person_id = pod.event_id" if borrowed else "pod.person_id = e.person_id"
-        parts.append(_rule(name, categories, start, order, join))
-    ranked = [
-        f"SELECT person_id, event_id, episode_start_date, '{name}' AS start_category, {rank} AS date_rank FROM s_{name.lower()}"
-        for name, rank, *_ in _RULES
-        if rank
-    ]
-    ranked.append("SELECT person_id, event_id, episode_start_date, start_category, 99 FROM s_default")
+    rules = ", ".join(
+        f"('{name}', {rank or 'NULL'}, '{category}', {days})"
+        for name, rank, categories, days in _RULES
+        for category in categories
+    )
+    if own_prior:
+        lender = "SELECT person_id, event_id, prior_date, true AS lent FROM prior"
+        borrow = "b.person_id = o.person_id AND b.event_id = o.event_id"
+    else:
+        lender = "SELECT person_id, event_id, prior_date, true AS lent FROM prior WHERE person_id = event_id"
+        borrow = "b.event_id = o.event_id"
     return (
         OUTCOME_ROWS
-        + ","
-        + ",".join(parts)
-        + ","
-        + _DEFAULT
         + f""",
-all_starts AS MATERIALIZED ({" UNION ".join(ranked)}),
+rules AS (SELECT * FROM (VALUES {rules}) AS t(rule, rank, category, days)),
+lender AS ({lender}),
+spans AS MATERIALIZED (
+  SELECT o.person_id, o.event_id, o.event_date - t.min_term AS last_start, b.lent,
+         greatest(o.event_date - t.max_term, w.prior_date + t.retry) AS first_start,
+         greatest(o.event_date - t.max_term, b.prior_date + t.retry) AS first_lent
+  FROM accepted o
+  JOIN term_durations t USING (category)
+  JOIN prior w ON w.person_id = o.person_id AND w.event_id = o.event_id
+  LEFT JOIN lender b ON {borrow}
+),
+signs AS MATERIALIZED (
+  SELECT m.person_id, r.rule, r.rank, m.event_date,
+         m.event_date - if(r.rule = 'GEST', CAST(m.gest_value AS INTEGER) - 1, r.days) AS start
+  FROM moved m JOIN rules r USING (category)
+),
+found AS MATERIALIZED (
+  SELECT s.person_id, s.event_id, g.rule, g.rank,
+         if(g.rule IN ('LMP', 'CONTRA', 'GEST'), arg_max(g.start, (g.event_date, g.start)), min(g.start)) AS episode_start_date
+  FROM spans s JOIN signs g ON g.person_id = s.person_id AND g.start <= s.last_start
+  WHERE if(g.rule = 'OVUL2', s.lent AND g.start >= s.first_lent, g.start >= s.first_start)
+  GROUP BY s.person_id, s.event_id, g.rule, g.rank
+),
+remarks AS (
+  SELECT o.person_id, o.event_id, o.event_date, o.category, w.prior_date, w.prior_category,
+         coalesce(bool_or(m.category = 'PREM'), false) AS early, coalesce(bool_or(m.category = 'FT'), false) AS full
+  FROM accepted o
+  JOIN prior w ON w.person_id = o.person_id AND w.event_id = o.event_id
+  JOIN term_durations t ON t.category = o.category
+  LEFT JOIN moved m ON m.person_id = o.person_id AND m.category IN ('PREM', 'FT')
+    AND m.event_date <= o.event_date + 30
+    AND m.event_date >= greatest(o.event_date - t.max_term, w.prior_date)
+  GROUP BY ALL
+),
+assumed AS MATERIALIZED (
+  SELECT r.person_id, r.event_id, if(r.early, 'PREM', 'DEFAULT') AS start_category,
+         greatest(r.event_date - if(r.early, g.preterm, if(r.full, g.fullterm, g.nodata)), r.prior_date + t.retry)
+           AS episode_start_date
+  FROM remarks r JOIN gest_est g ON g.category = r.category
+  LEFT JOIN term_durations t ON t.category = r.prior_category
+),
+all_starts AS MATERIALIZED (
+  SELECT person_id, event_id, episode_start_date, rule AS start_category, CAST(rank AS INTEGER) AS date_rank
+  FROM found WHERE rank IS NOT NULL
+  UNION ALL
+  SELECT person_id, event_id, episode_start_date, start_category, 99 FROM assumed
+),
 best AS MATERIALIZED (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY person_id, event_id ORDER BY date_rank) AS rn FROM all_starts
-  ) WHERE rn = 1
+  SELECT person_id, event_id, arg_min(episode_start_date, date_rank) AS episode_start_date,
+         arg_min(start_category, date_rank) AS start_category, min(date_rank) AS date_rank
+  FROM all_starts GROUP BY person_id, event_id
+),
+hints AS (
+  SELECT person_id, event_id, max(episode_start_date) FILTER (WHERE rule = 'PUSHBACK') AS care,
+         max(episode_start_date) FILTER (WHERE rule = 'CONTRA') AS pill
+  FROM found GROUP BY person_id, event_id
 ),
 refined AS MATERIALIZED (
   SELECT b.person_id, b.event_id,
-         CASE WHEN pc.d IS NULL AND cc.d IS NULL THEN b.episode_start_date
-              WHEN cc.d IS NULL AND pc.d < b.episode_start_date THEN pc.d
-              WHEN pc.d IS NULL AND cc.d > b.episode_start_date THEN cc.d
-              WHEN pc.d < b.episode_start_date AND cc.d < pc.d THEN pc.d
-              WHEN pc.d < b.episode_start_date AND cc.d > pc.d THEN cc.d
-              WHEN cc.d > b.episode_start_date AND pc.d > b.episode_start_date THEN cc.d
+         CASE WHEN care IS NULL THEN greatest(b.episode_start_date, pill)
+              WHEN pill IS NULL THEN least(b.episode_start_date, care)
+              WHEN care < b.episode_start_date AND care <> pill THEN greatest(care, pill)
+              WHEN care > b.episode_start_date THEN greatest(b.episode_start_date, pill)
               ELSE b.episode_start_date END AS episode_start_date,
          b.start_category || ':REFINED' AS start_category, b.date_rank - 1 AS date_rank
-  FROM best b
-  LEFT JOIN (SELECT person_id, event_id, episode_start_date AS d FROM s_pushback) pc USING (person_id, event_id)
-  LEFT JOIN (SELECT person_id, event_id, episode_start_date AS d FROM s_contra) cc USING (person_id, event_id)
+  FROM best b LEFT JOIN hints h ON h.person_id = b.person_id AND h.event_id = b.event_id
   WHERE b.date_rank > 7
 ),
 episodes AS MATERIALIZED (
   SELECT o.person_id, s.episode_start_date, o.event_date AS episode_end_date, s.start_category,
          o.category AS outcome_category, s.date_rank
-  FROM accepted o JOIN (SELECT * FROM all_starts UNION SELECT * FROM refined) s
-    ON s.person_id = o.person_id AND s.event_id = o.event_id
+  FROM accepted o JOIN (FROM all_starts UNION ALL FROM refined) s USING (person_id, event_id)
 ),
 eligible AS MATERIALIZED (
-  SELECT e.person_id, e.episode_start_date, e.episode_end_date, e.start_category, e.outcome_category,
-         row_number() OVER (PARTITION BY e.person_id ORDER BY e.episode_start_date, e.episode_end_date) AS episode
+  SELECT e.*, row_number() OVER (PARTITION BY e.person_id ORDER BY e.episode_start_date, e.episode_end_date) AS episode
   FROM (
-    SELECT *, row_number() OVER (PARTITION BY person_id, episode_end_date ORDER BY date_rank) AS rn FROM episodes
+    SELECT person_id, episode_end_date, arg_min(episode_start_date, date_rank) AS episode_start_date,
+           arg_min(start_category, date_rank) AS start_category, any_value(outcome_category) AS outcome_category
+    FROM episodes GROUP BY person_id, episode_end_date
   ) e
+  JOIN person p USING (person_id)
   JOIN observation_period op ON op.person_id = e.person_id
-    AND e.episode_end_date BETWEEN op.observation_period_start_date AND op.observation_period_end_date
-    AND e.episode_start_date >= op.observation_period_start_date
-  JOIN person p ON p.person_id = e.person_id
-  WHERE e.rn = 1 AND p.gender_concept_id = 8532
-    AND year(e.episode_start_date) - p.year_of_birth BETWEEN 12 AND 55
+    AND op.observation_period_start_date <= least(e.episode_start_date, e.episode_end_date)
+    AND op.observation_period_end_date >= e.episode_end_date
+  WHERE p.gender_concept_id <> 8507 AND year(e.episode_start_date) - p.year_of_birth BETWEEN 12 AND 55
 ),
 corroborated AS MATERIALIZED (
-  SELECT * FROM eligible WHERE (person_id, episode) IN (
-    SELECT e.person_id, e.episode
-    FROM eligible e
-    JOIN moved m ON m.person_id = e.person_id
-    JOIN term_durations t ON t.category = e.outcome_category
-    WHERE m.event_date BETWEEN e.episode_end_date - t.max_term + 1 AND e.episode_end_date
-    GROUP BY e.person_id, e.episode HAVING count(*) >= 2
+  SELECT e.* FROM eligible e JOIN term_durations t ON t.category = e.outcome_category
+  WHERE 2 <= (
+    SELECT count(*) FROM moved m
+    WHERE m.person_id = e.person_id AND m.event_date <= e.episode_end_date
+      AND m.event_date > e.episode_end_date - t.max_term
   )
 ),
 final AS MATERIALIZED (
   SELECT person_id, episode_start_date, episode_end_date, start_category AS start_method,
-         outcome_category AS original_outcome, episode,
-         CASE WHEN outcome_category IN ('AB', 'SA') THEN 'SA/AB'
-              WHEN outcome_category IN ('DELIV', 'LB') THEN 'LB/DELIV'
-              WHEN outcome_category = 'SB' AND episode_end_date - episode_start_date + 1 < 140 THEN 'SA/AB'
-              ELSE outcome_category END AS outcome,
-         CAST(episode_end_date - episode_start_date + 1 AS INTEGER) AS episode_length
-  FROM corroborated
+         outcome_category AS original_outcome, episode, n AS episode_length,
+         CASE WHEN outcome_category IN ('LB', 'DELIV') THEN 'LB/DELIV'
+              WHEN outcome_category IN ('SA', 'AB') OR (outcome_category = 'SB' AND n < 140) THEN 'SA/AB'
+              ELSE outcome_category END AS outcome
+  FROM (SELECT *, CAST(episode_end_date - episode_start_date + 1 AS INTEGER) AS n FROM corroborated)
 )"""
     )
 
@@ -441,7 +399,8 @@ def oracles() -> dict[str, str]:
             EVENTS,
             "SELECT concept_id, category, ways, exposures "
             "FROM (SELECT concept_id, category, count(*) AS ways FROM drug_concepts GROUP BY ALL) "
-            "JOIN (SELECT drug_concept_id AS concept_id, count(*) AS exposures FROM drug_exposure GROUP BY ALL) "
+            "JOIN (SELECT CAST(1000 + l_partkey % 40 AS INTEGER) AS concept_id, count(*) AS exposures "
+            "FROM facts WHERE dom >= 8 GROUP BY ALL) "
             "USING (concept_id)",
         ),
         "drug_events": _query(
@@ -497,7 +456,7 @@ HAVING bool_or(abs((t.event_date - a.event_date) + 1) <
             "FROM accepted JOIN prior USING (person_id, event_id)",
         ),
         "start_default": _query(
-            starts, "SELECT person_id, event_id, episode_start_date, start_category FROM s_default"
+            starts, "SELECT person_id, event_id, episode_start_date, start_category FROM assumed"
         ),
         "all_starts": _query(starts, f"{ranked} all_starts"),
         "best_start": _query(starts, f"{ranked} best"),
@@ -554,10 +513,10 @@ FROM final""",
         "pushback": "PUSHBACK",
         "contra": "CONTRA",
     }
-    rule_row = "SELECT person_id, event_id, episode_start_date, '{}' AS start_category FROM s_{}"
+    rule_row = "SELECT person_id, event_id, episode_start_date, rule AS start_category FROM found WHERE rule = '{}'"
     for short, name in rule_queries.items():
-        sql[f"start_{short}"] = _query(starts, rule_row.format(name, name.lower()))
+        sql[f"start_{short}"] = _query(starts, rule_row.format(name))
     sql["start_ovul2_person"] = _query(
-        written + _starts(own_prior=True), rule_row.format("OVUL2", "ovul2")
+        written + _starts(own_prior=True), rule_row.format("OVUL2")
     )
     return sql

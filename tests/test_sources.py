@@ -22,6 +22,9 @@ def test_lookups_round_trip_through_csv(spark, tmp_path):
             writer.writerow(table.columns)
             writer.writerows(table.collect())
     assert Lookups.from_csv(spark, str(tmp_path)) == fixed
+    spark.sql("CREATE DATABASE IF NOT EXISTS loaded_db")
+    tables.load_lookups(spark, str(tmp_path), "loaded_db")
+    assert Lookups.from_tables(spark, "loaded_db") == fixed
 
 
 def test_fixed_lookups():
@@ -51,6 +54,24 @@ def test_episodes_overwrite_and_append(spark):
     assert [(f.name, f.dataType.simpleString()) for f in stored.schema] == list(tables.EPISODE_COLUMNS)
 
 
+def test_new_result_table_is_empty(spark):
+    tables.create_episodes(spark, "episodes_new")
+    assert tables.read_episodes(spark, "episodes_new").count() == 0
+    episodes = EpisodePlan(cdm(spark, [(1, "LB", 400), (1, "UP", 200)]), codes(spark)).episodes
+    tables.write_episodes(episodes, "episodes_new", mode="append")
+    assert tables.read_episodes(spark, "episodes_new").count() == 1
+
+
+def test_large_lookups_are_refused(spark, tmp_path):
+    fixed = Lookups.fixed().tables(spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS large_db")
+    tables.write_lookups(spark, Lookups.fixed(), "large_db")
+    copies = fixed["gest_est"].crossJoin(spark.range(200)).drop("id")
+    copies.write.mode("overwrite").saveAsTable("large_db.gest_est")
+    with pytest.raises(ValueError):
+        Lookups.from_tables(spark, "large_db")
+
+
 def test_csv_sink(spark, tmp_path):
     episodes = EpisodePlan(cdm(spark, [(1, "LB", 400), (1, "UP", 200)]), codes(spark)).episodes
     path = str(tmp_path / "counts")
