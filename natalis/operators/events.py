@@ -45,7 +45,9 @@ def code_map(cdm: Cdm, codes: DataFrame) -> DataFrame:
         "gest_value",
         F.lit("N/A").alias("data_value"),
     )
-    return clinical.unionByName(drug)
+    both = clinical.unionByName(drug).filter(F.col("concept_id").isNotNull())
+    # Never null by its type too: no branch of a plan then adds a test of its own.
+    return both.withColumn("concept_id", F.coalesce("concept_id", F.lit(0)))
 
 
 def map_codes(records: DataFrame, mapping: DataFrame) -> DataFrame:

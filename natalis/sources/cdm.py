@@ -52,8 +52,8 @@ class Cdm:
             "observation_concept_id",
             "observation_date",
             OBSERVATION,
-            F.col("value_as_string"),
-            F.col("value_as_number"),
+            "value_as_string",
+            "value_as_number",
         )
 
     def measurements(self) -> DataFrame:
@@ -62,8 +62,8 @@ class Cdm:
             "measurement_concept_id",
             "measurement_date",
             MEASUREMENT,
-            F.col("value_source_value"),
-            F.col("value_as_number"),
+            "value_source_value",
+            "value_as_number",
         )
 
     def drugs(self) -> DataFrame:
@@ -79,23 +79,32 @@ class Cdm:
 
 
 def records(
-    table: DataFrame,
-    concept: str,
-    date: str,
-    kind: str,
-    text: Column | None = None,
-    number: Column | None = None,
+    table: DataFrame, concept: str, date: str, kind: str, text: str | None = None, number: str | None = None
 ) -> DataFrame:
     """One clinical table as person, concept, date, kind and recorded value."""
     return table.select(
-        F.col("person_id").cast("long").alias("person_id"),
-        F.col(concept).cast("int").alias("concept_id"),
-        F.col(date).cast("date").alias("start_date"),
+        _as(table, "person_id", "person_id", "bigint"),
+        _as(table, concept, "concept_id", "int"),
+        _as(table, date, "start_date", "date"),
         F.lit(kind).alias("type"),
-        (F.lit(" ") if text is None else text.cast("string")).alias("value_as_string"),
-        (F.lit(None).cast(NUMBER) if number is None else number.try_cast(NUMBER)).alias("value_as_number"),
+        _as(table, text, "value_as_string", "string") if text else F.lit(" ").alias("value_as_string"),
+        (F.col(number).try_cast(NUMBER) if number else F.lit(None).cast(NUMBER)).alias("value_as_number"),
     )
 
 
+def _as(table: DataFrame, column: str, name: str, kind: str) -> Column:
+    """A column under a name and type, left alone where it has both.
+
+    Spark drops an alias that changes nothing from some branches of a plan only,
+    and branches that differ do not share their scans.
+    """
+    known = F.col(column)
+    if table.schema[column].dataType.simpleString() != kind:
+        known = known.cast(kind)
+    elif column == name:
+        return known
+    return known.alias(name)
+
+
 def _stack(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)

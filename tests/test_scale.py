@@ -1,10 +1,13 @@
 """What must hold whatever the size and spread of the data."""
 
+import re
+from dataclasses import fields
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from natalis import EpisodePlan
+from natalis import Cdm, EpisodePlan
 from natalis.operators import events as ev
 from natalis.operators.temporal import COPIES_PER_CHUNK, expand_copies
 from natalis.sources.fixtures import code_set, fixture_cdm
@@ -55,6 +58,24 @@ def test_copies_beyond_one_chunk(spark):
     assert {tuple(r) for r in found.collect()} == {(1, n, n, 7, n + 6), (2, 1, 1, 1, 1)}
 
 
+def test_each_clinical_table_is_scanned_once(spark, tmp_path):
+    source = fixture_cdm(spark, SF)
+    names = [f.name for f in fields(Cdm)]
+    for name in names:
+        getattr(source, name).write.parquet(str(tmp_path / name))
+    for threshold in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            table = EpisodePlan(Cdm.from_parquet(spark, str(tmp_path)), code_set(spark)).episodes
+            assert table.count() == 438
+            table.collect()
+            final = plan_text(table).split("== Initial Plan ==")[0]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("condition", "procedure", "observation", "measurement", "drug"):
+            assert len(re.findall(rf"FileScan parquet \[[^\]]*{name}_concept_id#", final)) == 1, name
+
+
 def episodes_of(spark, shuffle_input=False):
     source = fixture_cdm(spark, SF)
     if shuffle_input:
