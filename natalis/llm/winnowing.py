@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 from natalis.llm.base import table
 from natalis.llm.textarrays import PIECE, mixed, powers, slices
 
-GRAM, WINDOW = 20, 61
+GRAM, WINDOW = 12, 29
 BASE = np.uint64(0xD6E8FEB86659FD93)
 #: Texts between two cuts of the order; about so many rows share a task's memory.
 ROWS = 2000
