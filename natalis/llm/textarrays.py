@@ -6,7 +6,6 @@ go through it in pieces, so that temporary arrays stay small however long one te
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,17 +140,6 @@ def whole(firsts: np.ndarray, size: int, n: int) -> np.ndarray:
 
 def covered(marked: np.ndarray, size: int, n: int) -> np.ndarray:
     """Which of n values lie in a marked window of ``size`` values; marked has a flag for every window start."""
-    edges = np.zeros(n + 1, np.int32)
     at = np.flatnonzero(marked)
-    np.add.at(edges, at, 1) if len(at) < 64 else edges.__setitem__(slice(None), edges + np.bincount(at, minlength=n + 1).astype(np.int32))
-    np.subtract(edges, np.bincount(at + size, minlength=n + 1)[: n + 1].astype(np.int32), out=edges)
+    edges = np.bincount(at, minlength=n + 1)[: n + 1] - np.bincount(at + size, minlength=n + 1)[: n + 1]
     return np.cumsum(edges[:-1]) > 0
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
-
-
-def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Arrow strings of the bytes between the offsets."""
-    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(np.ascontiguousarray(data).tobytes())).cast(pa.string())
