@@ -21,7 +21,7 @@ from natalis.llm.textarrays import mixed
 
 DEPTH = 2
 CELLS_PER_VALUE = 4
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Values of one sketch row that share a merging task.
 SHARD_VALUES = 1 << 20
 SENT = "chunk int, shard long, n int, wide boolean, steps binary, more binary"

@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 
 from natalis.llm.base import table, text_bytes
 from natalis.llm.sketch import REPLY, SENT, Layout, by_chunk, estimated, merge, send
-from natalis.llm.textarrays import PIECE, covered, flat, mixed, window_hashes
+from natalis.llm.textarrays import BASE, BASE_TWO, PIECE, covered, flat, mixed, span_hashes, window_hashes
 
 SIZE, GRAM = 50, 16
 #: Bytes of text for each anchor, about: two anchors for a window of grams.
 BYTES_PER_ANCHOR = 17
 #: Buckets for each chunk of documents, so that a bucket's columns stay small.
 BUCKETS_PER_CHUNK = 4
-SEGMENTS = "chunk int, bucket int, n int, sizes binary, ids binary, texts binary, raw long"
+SEGMENTS = "chunk int, bucket int, n int, sizes binary, ids binary, anchors binary, texts binary, raw long"
 ANSWERS = "chunk int, shard long, bits binary"
 _LAST = np.iinfo(np.int64).max
 
@@ -101,13 +101,7 @@ def distinct(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, owners: np
 
     Contents are told apart by 128 bits of hash and their length.
     """
-    values = gather(data, starts, sizes).astype(np.uint64)
-    ends = np.cumsum(sizes)
-    inner = np.arange(len(values)) - np.repeat(ends - sizes, sizes)
-    sums = []
-    for seed in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        weights = mixed(np.arange(int(sizes.max(initial=0)), dtype=np.uint64) + np.uint64(seed))
-        sums.append(np.add.reduceat(mixed((values + np.uint64(1)) * weights[inner]), ends - sizes) if len(sizes) else np.zeros(0, np.uint64))
+    sums = [span_hashes(data, starts, starts + sizes, base) for base in (BASE, BASE_TWO)]
     order = np.lexsort((owners, sums[1], sums[0], sizes))
     new = np.ones(len(order), bool)
     new[1:] = (sizes[order[1:]] != sizes[order[:-1]]) | (sums[0][order[1:]] != sums[0][order[:-1]]) | (sums[1][order[1:]] != sums[1][order[:-1]])
@@ -131,7 +125,7 @@ class Columns:
     def write(self, transform: np.ndarray, suffixes: np.ndarray) -> None:
         self._next.seek(0)
         self._next.write(transform.tobytes())
-        self._next.write(suffixes.astype(np.int32).tobytes())
+        self._next.write(suffixes.tobytes())
         self._n = len(transform)
         self._now, self._next = self._next, self._now
 
@@ -165,17 +159,14 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     last = np.where(ends > starts, before[ends], np.uint8(0))
     columns = Columns()
     try:
-        # round 0: the empty suffixes, in the order of the strings; their marks are the places of the ends, kept apart by string
-        columns.write(last, np.arange(len(ends), dtype=np.int32) - len(ends))
+        # round 0: the empty suffixes, in the order of the strings
+        empty = ends.astype(np.int32)
+        columns.write(last, empty)
         for _ in range(int((ends - starts).max())):
             transform, suffixes = columns.read()
-            live = np.flatnonzero(transform)
-            order = live[np.argsort(transform[live], kind="stable")]
-            places = suffixes[order].astype(np.int64)
-            empty = places < 0
-            places[empty] = ends[places[empty]]
-            places -= 1
-            columns.write(np.concatenate([last, symbol[places]]), np.concatenate([np.arange(len(ends)) - len(ends), places]))
+            done = len(transform) - np.count_nonzero(transform)
+            places = suffixes[np.argsort(transform, kind="stable")[done:]] - np.int32(1)
+            columns.write(np.concatenate([last, symbol[places]]), np.concatenate([empty, places]))
         return columns.read()[1][len(ends) :]
     finally:
         columns.close()
@@ -232,19 +223,19 @@ def remove_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", siz
         place = (hashes % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(place[chosen], kind="stable")  # contents by bucket
         number = np.argsort(order)[number] if len(order) else number
-        return data, offsets, text_no, starts, sizes, owners, place, number, chosen[order]
+        return data, offsets, hashes, starts, sizes, owners, place, number, chosen[order]
 
     def send_segments(group: pa.Table, reply: pa.Table) -> pa.Table:
-        data, _, _, starts, sizes, owners, place, _, chosen = segments(group, reply)
+        data, _, hashes, starts, sizes, owners, place, _, chosen = segments(group, reply)
         edges = np.searchsorted(place[chosen], np.arange(buckets + 1))
-        out = {k: [] for k in ("chunk", "bucket", "n", "sizes", "ids", "texts", "raw")}
+        out = {k: [] for k in ("chunk", "bucket", "n", "sizes", "ids", "anchors", "texts", "raw")}
         for k in np.flatnonzero(np.diff(edges)):
             own = chosen[edges[k] : edges[k + 1]]
             raw = gather(data, starts[own], sizes[own]).tobytes()
-            values = (group.column("chunk")[0].as_py(), int(k), len(own), sizes[own].astype(np.uint8).tobytes(), owners[own].tobytes(), _codec().compress(raw, asbytes=True), len(raw))
+            values = (group.column("chunk")[0].as_py(), int(k), len(own), sizes[own].astype(np.uint8).tobytes(), owners[own].tobytes(), hashes[own].tobytes(), _codec().compress(raw, asbytes=True), len(raw))
             for name, value in zip(out, values, strict=True):
                 out[name].append(value)
-        return pa.table(out, pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("n", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary()), ("texts", pa.binary()), ("raw", pa.int64())]))
+        return pa.table(out, pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("n", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary()), ("anchors", pa.binary()), ("texts", pa.binary()), ("raw", pa.int64())]))
 
     def compare(group: pa.Table) -> pa.Table:
         sizes = np.concatenate([np.frombuffer(b, np.uint8) for b in group.column("sizes").to_pylist()]).astype(np.int64)
@@ -253,7 +244,13 @@ def remove_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", siz
         starts = np.cumsum(sizes) - sizes
         number, chosen = distinct(texts, starts, sizes, owners)
         per = sizes[chosen] - size + 1
-        gone = covered_before(gather(texts, starts[chosen], sizes[chosen]), sizes[chosen], owners[chosen], size)
+        # a content that is the only one of its anchor has no string that another content has
+        hashes = np.concatenate([np.frombuffer(b, np.uint64) for b in group.column("anchors").to_pylist()])[chosen]
+        _, of, times = np.unique(hashes, return_inverse=True, return_counts=True)
+        shared = times[of] > 1
+        some = chosen[shared]
+        gone = np.zeros(int(per.sum()), bool)
+        gone[np.repeat(shared, per)] = covered_before(gather(texts, starts[some], sizes[some]), sizes[some], owners[some], size)
         first = np.cumsum(per) - per
         # a content's bits for its smallest owner; all strings go where a smaller owner has the same content
         lengths = sizes - size + 1

@@ -100,14 +100,14 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = SPACED) ->
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of every span; the spans ascend and don't overlap."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span; starts and ends ascend."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
         low, high = int(starts[at]), int(ends[to - 1])
-        up, down = powers(BASE, high - low + 1)
+        up, down = powers(base, high - low + 1)
         sums = np.zeros(high - low + 1, np.uint64)
         np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
         s, e = starts[at:to] - low, ends[at:to] - low
