@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from natalis.llm.base import shared_folder, table
 from natalis.llm.curriculum import ordered, plan, repeating
 from natalis.llm.language import identify, learn
+from natalis.llm.near import near_duplicates
 from natalis.llm.postings import contamination
 from natalis.llm.repeats import remove_repeats
 
@@ -20,6 +21,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return identify(docs, model).where("known").select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: the one with the smallest id."""
+    gone = near_duplicates(docs).where("not kept").select(F.col("id").alias("_id"))
+    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out words of repeated windows; texts that lose none stay as they are, documents that lose all go."""
     found = remove_repeats(docs).where("n_removed > 0").select(F.col("id").alias("_id"), "kept", (F.col("n_words") > F.col("n_removed")).alias("left"))
@@ -42,6 +49,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
     ("substring dedup", substring_dedup),
     ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixing),

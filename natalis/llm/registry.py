@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from natalis.llm.curriculum import OP8_SQL, op8_curriculum
 from natalis.llm.language import op1_language_mixture
+from natalis.llm.near import op2_lsh_forest
 from natalis.llm.postings import OP5_SQL, op5_positional_index
 from natalis.llm.repeats import OP3_SQL, op3_repeated_windows
 from natalis.llm.suffixes import op6_suffix_columns
@@ -12,6 +13,7 @@ from natalis.llm.winnowing import op7_winnowing
 
 QUERIES = {
     "op1_language_mixture": op1_language_mixture,
+    "op2_lsh_forest": op2_lsh_forest,
     "op3_repeated_windows": op3_repeated_windows,
     "op4_url_list": op4_url_list,
     "op5_positional_index": op5_positional_index,
