@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from natalis.llm.curriculum import OP8_SQL, op8_curriculum
 from natalis.llm.language import op1_language_mixture
+from natalis.llm.licences import op9_licences
 from natalis.llm.near import op2_lsh_forest
 from natalis.llm.postings import OP5_SQL, op5_positional_index
 from natalis.llm.repeats import OP3_SQL, op3_repeated_windows
 from natalis.llm.suffixes import op6_suffix_columns
 from natalis.llm.urls import OP4_SQL, op4_url_list
+from natalis.llm.weaklabels import op10_weak_labels
 from natalis.llm.winnowing import op7_winnowing
 
 QUERIES = {
@@ -20,6 +22,8 @@ QUERIES = {
     "op6_suffix_columns": op6_suffix_columns,
     "op7_winnowing": op7_winnowing,
     "op8_curriculum": op8_curriculum,
+    "op9_licences": op9_licences,
+    "op10_weak_labels": op10_weak_labels,
 }
 ORACLES = {
     "op3_repeated_windows": OP3_SQL,
