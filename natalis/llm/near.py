@@ -7,9 +7,10 @@ shallowest depth at which its candidate pairs are no more than a fixed number fo
 one level deeper (1, 2, 4, 8, 16 values).
 
 Equal sets are one node. Two rounds keep a large group of near copies from being compared pair by pair: the first
-verifies every node's most similar candidate and joins what is linked; in the second a region counts
-only pairs of different components, and all of these are candidates. What remains too large at the last level is
-compared in blocks, all against all. Candidates whose signatures agree far less (five standard deviations) than
+verifies every node's most similar candidate of smaller id and joins what is linked; in the second a region counts
+only pairs of different components, and all of these are candidates, verified inside the region, so that no
+pair is a row. What remains too large at the last level is
+compared in blocks, all against all. Candidates whose signatures agree far less (four standard deviations) than
 those of linked documents are left out; all others are verified on their full sets. Links are
 connected by ``connected``.
 
@@ -37,10 +38,12 @@ WORDS = 5
 SHARE = 75
 TREES, DEPTHS = 16, (1, 2, 4, 8, 16)
 VALUES = TREES * DEPTHS[-1]
+#: Trees that the first round reads.
+TREES_FIRST = 8
 #: Candidate pairs for each member of a region, in the first and in the second round.
 PAIRS_FIRST, PAIRS_SECOND = 64, 256
 #: Members of a region that share a block; partners of a document that are verified together.
-BLOCK, PARTNERS = 4096, 64
+BLOCK, PARTNERS = 1024, 64
 #: Ids up to which their documents are found by a broadcast (some 32 MB); beyond, by a shuffle.
 BROADCAST_IDS = 2_000_000
 SLICE = 1 << 20
@@ -90,19 +93,19 @@ def prefix_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def marks(signatures: np.ndarray) -> np.ndarray:
-    """Four bits of every value, two values a byte."""
-    low = (mixed(signatures.astype(np.uint64)) & np.uint64(15)).astype(np.uint8)
-    return low[:, ::2] << 4 | low[:, 1::2]
+    """Two bits of every value, four values a byte."""
+    low = (mixed(signatures.astype(np.uint64)) & np.uint64(3)).astype(np.uint8)
+    return low[:, ::4] << 6 | low[:, 1::4] << 4 | low[:, 2::4] << 2 | low[:, 3::4]
 
 
-#: Number of equal nibbles in the exclusive or of two bytes of marks.
-_EQUAL = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)
+#: How many of the four pairs of bits of a byte are zero, for the exclusive or of two bytes of marks.
+_EQUAL = np.array([sum((x >> k & 3) == 0 for k in (0, 2, 4, 6)) for x in range(256)], np.uint8)
 
 
 def least_equal(share: int) -> int:
-    """Equal marks of two signatures below which a similarity of ``share`` percent is ruled out (five standard deviations)."""
-    p = share / 100 + (1 - share / 100) / 16
-    return int(VALUES * p - 5 * (VALUES * p * (1 - p)) ** 0.5)
+    """Equal marks of two signatures below which a similarity of ``share`` percent is ruled out (four standard deviations)."""
+    p = share / 100 + (1 - share / 100) / 4
+    return int(VALUES * p - 4 * (VALUES * p * (1 - p)) ** 0.5)
 
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
@@ -189,14 +192,14 @@ def _sorted_map(rows: DataFrame, key: str, function, fields: str, *more: str) ->
     return rows.repartition(key).sortWithinPartitions(key, *more).mapInArrow(function, fields)
 
 
-def _regions(nodes: DataFrame, per_member: int, leaders: bool) -> DataFrame:
+def _regions(nodes: DataFrame, trees: int, per_member: int, leaders: bool) -> DataFrame:
     """(region, id, component, n, marks) of all regions to compare; nodes are (id, component, n, keys, marks).
 
     A region of one component is left out. One with too many pairs at the last level is cut into blocks: with ``leaders``
     each has the region's first member too, else every two blocks share a region of their own.
     """
     out = None
-    left = nodes.select("id", "component", F.posexplode(F.expr(f"transform(sequence(0, {TREES - 1}), t -> slice(keys, t * {len(DEPTHS)} + 1, {len(DEPTHS)}))")).alias("tree", "prefixes"))
+    left = nodes.select("id", "component", F.posexplode(F.expr(f"transform(sequence(0, {trees - 1}), t -> slice(keys, t * {len(DEPTHS)} + 1, {len(DEPTHS)}))")).alias("tree", "prefixes"))
     for level in range(len(DEPTHS)):
         rows = left.select("id", "component", "prefixes", F.col("prefixes")[level].alias("region"))
         parts = rows.groupBy("region", "component").agg(F.count("*").alias("c"))
@@ -220,20 +223,23 @@ def _regions(nodes: DataFrame, per_member: int, leaders: bool) -> DataFrame:
         cell = F.expr("transform(sequence(0, blocks - 1), o -> least(block, o) * blocks + greatest(block, o))")
         left = left.select("region", "id", "component", F.explode(cell).alias("block"))
     out = out.union(left.select(F.xxhash64("region", "block").alias("region"), "id", "component")).distinct()
-    return out.join(nodes.select("id", "n", "marks"), "id")
+    return out.join(nodes.select("id", "n", "marks"), "id").select("id", "region", "component", "n", "marks")
 
 
 def _nearest(regions: DataFrame, share: int) -> DataFrame:
-    """(a, b): every node's most similar candidate."""
+    """(a, b): every node's most similar candidate of those with smaller ids, which makes a tree of what is linked."""
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "region"):
             ids = group.column("id").to_numpy()
             most, partner = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int64)
             for i, j, agree in _pairs(group, share):
-                for x, y in ((i, j), (j, i)):
-                    better = agree > most[x]
-                    most[x[better]], partner[x[better]] = agree[better], ids[y[better]]
+                i, j = np.where(ids[i] > ids[j], i, j), np.where(ids[i] > ids[j], j, i)
+                # ascending, so that of several pairs of one i the best is written last
+                order = np.argsort(agree, kind="stable")
+                i, j, agree = i[order], j[order], agree[order]
+                better = agree > most[i]
+                most[i[better]], partner[i[better]] = agree[better], ids[j[better]]
             some = most > 0
             yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(partner[some]), pa.array(most[some])], names=["a", "b", "agree"])
 
@@ -242,16 +248,88 @@ def _nearest(regions: DataFrame, share: int) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _all_pairs(regions: DataFrame, share: int) -> DataFrame:
-    """(a, b): all candidates of different components."""
+def _candidates(regions: DataFrame, share: int) -> DataFrame:
+    """The rows of regions that have a candidate of another component in their region."""
 
-    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "region"):
-            ids = group.column("id").to_numpy()
+            found = np.zeros(group.num_rows, bool)
             for i, j, _ in _pairs(group, share):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["a", "b"])
+                found[i] = found[j] = True
+            yield from group.filter(pa.array(found)).to_batches()
+
+    return _sorted_map(regions, "region", some, "id long, region long, component long, n long, marks binary")
+
+
+def _overlaps(own: np.ndarray, partners: np.ndarray, values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """How many values each partner's set has in common with one's own; flags has a place for each value, all false."""
+    flags[own] = True
+    lengths = sizes[partners]
+    ends = np.cumsum(lengths)
+    at = np.arange(int(ends[-1])) + np.repeat(starts[partners] - (ends - lengths), lengths)
+    both = np.add.reduceat(flags[values[at]], ends - lengths, dtype=np.int64)
+    flags[own] = False
+    return both
+
+
+def _links_within(regions: DataFrame, share: int) -> DataFrame:
+    """(a, b): links between components inside each region, verified on the sets that its rows carry; enough to join what is linked."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table_ in _groups(batches, "region"):
+            region = table_.column("region").to_numpy()
+            edges = np.append(np.flatnonzero(np.append(True, region[1:] != region[:-1])), len(region))
+            for low, high in zip(edges, edges[1:], strict=False):
+                found = _linked(table_.slice(int(low), int(high - low)).combine_chunks(), share)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([min(f) for f in found], pa.int64()), pa.array([max(f) for f in found], pa.int64())], names=["a", "b"])
+
+    return _sorted_map(regions, "region", links, "a long, b long").distinct()
+
+
+def _linked(group: pa.Table, share: int) -> list[tuple[int, int]]:
+    ids = group.column("id").to_numpy()
+    pairs = list(_pairs(group, share))
+    if not pairs:
+        return []
+    i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+    _, parts = np.unique(group.column("component").to_numpy(), return_inverse=True)
+    # the row with more candidates first: it is compared with all of them at once
+    often = np.bincount(np.concatenate([i, j]), minlength=len(ids))
+    i, j = np.where(often[i] >= often[j], i, j), np.where(often[i] >= often[j], j, i)
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    sets = [np.frombuffer(b, np.uint64) for b in group.column("shingles").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    names, values = np.unique(np.concatenate(sets), return_inverse=True)
+    flags = np.zeros(len(names), bool)
+    found = []
+    edges = np.append(np.flatnonzero(np.append(True, i[1:] != i[:-1])), len(i))
+    for low, high in zip(edges, edges[1:], strict=False):
+        row, partners = int(i[low]), j[low:high]
+        partners = partners[parts[partners] != parts[row]]
+        if not len(partners):
+            continue
+        both = _overlaps(values[starts[row] : starts[row] + sizes[row]], partners, values, starts, sizes, flags)
+        for other in partners[100 * both >= share * (sizes[row] + sizes[partners] - both)]:
+            if parts[other] != parts[row]:
+                found.append((int(ids[row]), int(ids[other])))
+                parts[parts == parts[other]] = parts[row]
+    return found
 
-    return _sorted_map(regions, "region", every, "a long, b long").distinct()
+
+def _with_sets(rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """The rows with the shingle sets of their ids; only the wanted documents are shingled again."""
+    ids = cut(rows.select("id").distinct())
+    wanted = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part, "text", size)], pa.binary())], names=["id", "shingles"])
+
+    return rows.join(wanted.mapInArrow(sets, "id long, shingles binary"), "id")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
@@ -264,14 +342,6 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataFr
     dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PARTNERS)).alias("part"))
     dealt = dealt.select(F.xxhash64("a", "part").alias("group"), "a", "b")
     members = dealt.select("group", "a", F.lit(False).alias("partner"), F.col("a").alias("id")).distinct().union(dealt.select("group", "a", F.lit(True), "b"))
-    ids = cut(members.select("id").distinct())
-    wanted = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part, "text", size)], pa.binary())], names=["id", "shingles"])
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: tuple[int, int, list[np.ndarray]] = (0, 0, [])
         for batch in batches:
@@ -288,10 +358,22 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataFr
                         break
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
-    rows = members.join(wanted.mapInArrow(sets, "id long, shingles binary"), "id")
+    rows = _with_sets(members, docs, size)
     return _sorted_map(rows, "group", compare, "a long, b long", "a", "partner").distinct()
 
 
+def _uphill(links: DataFrame) -> DataFrame:
+    """(id, component): every node's ancestor by links (a, b) that lead each b to one smaller a, up to 32 steps up.
+
+    Nodes further down get an ancestor of their own; the second round and ``connected`` join them.
+    """
+    up = cut(links.select(F.col("b").alias("id"), F.col("a").alias("component")))
+    for _ in range(5):
+        above = up.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        up = up.join(above, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
+    return up
+
+
 def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", size: int = WORDS, share: int = SHARE) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row: the smallest id that links reach, and whether it is the row's own."""
     docs = docs.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text"))
@@ -299,10 +381,12 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", si
     linkable = described.where("n > 0 and id is not null")
     nodes = cut(linkable.groupBy("one", "two", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
     alone = nodes.withColumn("component", F.col("id")).select("id", "component", "n", "keys", "marks")
-    links = cut(verified(_nearest(_regions(alone, PAIRS_FIRST, True), share), docs, size, share))
-    joined = nodes.join(connected(links), "id", "left").select("id", F.coalesce("component", "id").alias("component"), "n", "keys", "marks")
-    more = verified(_all_pairs(_regions(joined, PAIRS_SECOND, False), share), docs, size, share)
-    components = connected(links.union(more))
+    links = verified(_nearest(_regions(alone, TREES_FIRST, PAIRS_FIRST, True), share), docs, size, share)
+    stars = cut(_uphill(links))
+    joined = nodes.join(stars, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "n", "keys", "marks")
+    narrowed = cut(_candidates(_regions(joined, TREES, PAIRS_SECOND, False), share))
+    more = _links_within(_with_sets(narrowed, docs, size), share)
+    components = connected(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
     known = nodes.select("one", "two", "n", "id").join(components, "id", "left").select("one", "two", "n", F.coalesce("component", "id").alias("component"))
     rows = described.select("id", "n", "one", "two").alias("r").join(known.alias("k"), ["one", "two", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("r.id").isNotNull(), F.col("component")).otherwise(F.col("r.id"))
