@@ -103,9 +103,8 @@ def phrase_matches(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataF
     """
     items = cut(items)
     found = candidates(docs, items, size)
-    texts = docs.where(F.size("words") > 0)
     rows = items.count()
-    pairs = texts.join(found, "id").join(_small(items.select("item", F.col("words").alias("asked")), rows), "item")
+    pairs = docs.join(found, "id").join(_small(items.select("item", F.col("words").alias("asked")), rows), "item")
     length = F.least(F.lit(size), F.size("asked")).alias("length")
     pairs = pairs.select("id", "item", "shift", length, F.expr("filter(starts, s -> slice(words, shift + s + 1, least(%d, size(asked))) = slice(asked, s + 1, least(%d, size(asked))))" % (size, size)).alias("starts"))
     return pairs.select("id", "item", "shift", F.explode("starts").alias("start"), "length").distinct()

@@ -183,8 +183,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, dict[int, floa
     return fit([(r[1], r[2]) for r in found], np.array([known[r[0]] for r in found])), known
 
 
-def score(docs: DataFrame, scorer: Scorer, known: dict[int, float], threshold: float = 0.5) -> DataFrame:
-    """(id, posterior, score, kept) for every row of docs (id, text)."""
+def score(docs: DataFrame, scorer: Scorer, known: dict[int, float], threshold: float = 0.2) -> DataFrame:
+    """(id, posterior, score, kept) for every row of docs (id, text); what isn't clearly bad is kept."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
