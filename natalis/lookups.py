@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from natalis.functions.classify import OUTCOMES
 
@@ -51,7 +54,11 @@ TERM_SCHEMA = "category string, max_term int, min_term int, retry int"
 EST_SCHEMA = "gest_est_id int, category string, preterm int, postterm int, fullterm int, nodata int"
 SCHEMAS = {"outcome_limit": LIMIT_SCHEMA, "term_durations": TERM_SCHEMA, "gest_est": EST_SCHEMA}
 
-MAX_LOOKUP_ROWS = 1000
+KEYS = {
+    "outcome_limit": ("first_preg_category", "outcome_preg_category"),
+    "term_durations": ("category",),
+    "gest_est": ("category",),
+}
 
 
 def _grid(text: str) -> list[dict[str, str]]:
@@ -71,12 +78,20 @@ class Lookups:
     postterm: Mapping[str, int]
     fullterm: Mapping[str, int]
     nodata: Mapping[str, int]
+    limit_ids: Mapping[tuple[str, str], int] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        # Evidence belongs to the next outcome after the start it stands for, which needs both.
+        if any(days < 1 for days in self.min_term.values()) or any(days < 0 for days in self.retry.values()):
+            raise ValueError("min_term must be at least 1 day and retry at least 0")
 
     @classmethod
     def fixed(cls) -> Lookups:
         """The tables as shipped."""
         limits = {(r["first"], o): int(r[o]) for r in _grid(MIN_DAYS) for o in OUTCOMES}
-        return cls._of(limits, _grid(TERM_DURATIONS), _grid(GEST_EST))
+        # The shipped ids are 1 to 8 and 11 to 51.
+        ids = {pair: i if i <= 8 else i + 2 for i, pair in enumerate(limits, 1)}
+        return cls._of(limits, ids, _grid(TERM_DURATIONS), _grid(GEST_EST))
 
     @classmethod
     def from_csv(cls, spark: SparkSession, folder: str) -> Lookups:
@@ -90,14 +105,15 @@ class Lookups:
 
     @classmethod
     def _read(cls, tables: Mapping[str, DataFrame]) -> Lookups:
-        rows = {name: _small(table) for name, table in tables.items()}
+        rows = {name: _small(table, name) for name, table in tables.items()}
         limits = {
             (r["first_preg_category"], r["outcome_preg_category"]): r["min_days"] for r in rows["outcome_limit"]
         }
-        return cls._of(limits, rows["term_durations"], rows["gest_est"])
+        ids = {(r["first_preg_category"], r["outcome_preg_category"]): r["outcome_limit_id"] for r in rows["outcome_limit"]}
+        return cls._of(limits, ids, rows["term_durations"], rows["gest_est"])
 
     @classmethod
-    def _of(cls, limits: Mapping, terms: Iterable[Mapping], estimates: Iterable[Mapping]) -> Lookups:
+    def _of(cls, limits: Mapping, ids: Mapping, terms: Iterable[Mapping], estimates: Iterable[Mapping]) -> Lookups:
         def column(rows: Iterable[Mapping], name: str) -> dict[str, int]:
             return {r["category"]: int(r[name]) for r in rows}
 
@@ -105,11 +121,12 @@ class Lookups:
             dict(limits),
             *(column(terms, name) for name in ("max_term", "min_term", "retry")),
             *(column(estimates, name) for name in ("preterm", "postterm", "fullterm", "nodata")),
+            dict(ids),
         )
 
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
         """The lookups as DataFrames, under their table names."""
-        limits = [(i, a, b, d) for i, ((a, b), d) in enumerate(self.min_days.items(), 1)]
+        limits = [(self.limit_ids.get((a, b), i), a, b, d) for i, ((a, b), d) in enumerate(self.min_days.items(), 1)]
         terms = [(c, self.max_term[c], self.min_term[c], self.retry[c]) for c in self.max_term]
         estimates = [
             (i, c, self.preterm[c], self.postterm[c], self.fullterm[c], self.nodata[c])
@@ -139,9 +156,11 @@ def values(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame
     return table.selectExpr(*(f"CAST({name} AS {kind}) AS {name}" for name, kind in fields))
 
 
-def _small(table: DataFrame) -> list[dict]:
-    """Rows of a lookup that must be small: they become literals of the plan."""
-    rows = table.limit(MAX_LOOKUP_ROWS + 1).collect()
-    if len(rows) > MAX_LOOKUP_ROWS:
-        raise ValueError(f"a lookup table may hold {MAX_LOOKUP_ROWS} rows at most")
-    return [row.asDict() for row in rows]
+def _small(table: DataFrame, name: str) -> list[dict]:
+    """Rows of a lookup for the known categories, which become literals of the plan; a key must not repeat."""
+    keys = KEYS[name]
+    known = reduce(and_, (F.col(key).isin(*OUTCOMES) for key in keys))
+    rows = table.where(known)
+    if rows.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"{name} has a repeated {' and '.join(keys)}")
+    return [row.asDict() for row in rows.collect()]

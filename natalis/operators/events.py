@@ -15,7 +15,7 @@ from natalis.operators.temporal import (
     first_number,
     whole_person,
 )
-from natalis.sources.cdm import DRUG, MEASUREMENT, NUMBER, OBSERVATION, Cdm
+from natalis.sources.cdm import DRUG, MEASUREMENT, NUMBER, OBSERVATION, OUT_OF_RANGE, Cdm
 
 # Equal events aside, this order is total; a missing gestation comes first.
 EVENT_ORDER = ("day", "category", "gest_value")
@@ -62,6 +62,9 @@ def map_codes(records: DataFrame, mapping: DataFrame) -> DataFrame:
 def gestation_days() -> Column:
     """Gestational age in days: recorded weeks, else the code's; drug codes keep their value."""
     weeks = F.coalesce(F.col("value_as_number"), F.col("gest_value"))
+    # Numbers beyond any use stay out of range, but seven times as much must fit the type.
+    low, high = F.lit(-OUT_OF_RANGE).cast(NUMBER), F.lit(OUT_OF_RANGE).cast(NUMBER)
+    weeks = F.when(weeks.isNotNull(), F.greatest(F.least(weeks, high), low))
     return (
         F.when(F.col("for_drug"), F.col("gest_value"))
         .when(F.col("category") == "GEST", 7 * weeks)

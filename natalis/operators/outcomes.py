@@ -163,7 +163,9 @@ def gap_days(accepted_day: Column, candidate_day: Column) -> Column:
 
 def too_close(lookups: Lookups, options: Options):
     """Conflict test of an accepted outcome and a candidate."""
-    days = [str(lookups.min_days[a, b]) for a in TARGETS for b in TARGETS]
+    # A pair that the table lacks in either direction has no limit.
+    known = lookups.min_days
+    days = [str(known[a, b] if (a, b) in known and (b, a) in known else -1) for a in TARGETS for b in TARGETS]
     limits = F.expr(f"array({', '.join(days)})")
     width = len(TARGETS)
 

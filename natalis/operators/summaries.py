@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from natalis.functions.classify import OUTCOME_CONCEPTS
 from natalis.functions.days import lookup
 
-ZONES = 256
 
-
-def zone_cuts(keys: DataFrame, key: str, zones: int = ZONES) -> list[int]:
-    """Sorted key values that cut ``keys`` into zones of about equal size."""
+def zone_cuts(keys: DataFrame, key: str, zones: int | None = None) -> list[int]:
+    """Sorted key values that cut ``keys`` into zones of about equal size, as many as the session has shuffle partitions."""
+    zones = zones or max(2, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / zones for i in range(1, zones)]
     row = keys.select(F.percentile_approx(key, shares).alias("cuts")).first()
     return sorted(set(row["cuts"] or []))

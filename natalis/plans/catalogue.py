@@ -369,7 +369,9 @@ QUERIES: dict[str, Query] = {
     "accept_lb_as_written": _accepted(AS_WRITTEN, "LB"),
     "accept_lb_forward": _accepted(FORWARD, "LB"),
     "accept_all_as_written": _accepted(AS_WRITTEN, *TARGETS),
-    "accept_all_forward": _accepted(Options.intended(), *TARGETS),
+    "accept_all_forward": _accepted(FORWARD, *TARGETS),
+    "accept_all_veto_ahead": _accepted(Options(sb_veto="ahead"), *TARGETS),
+    "accept_all_intended": _accepted(Options.intended(), *TARGETS),
     "prior_outcome": prior_outcome,
     "start_lmp": _rule_start(RULES["LMP"]),
     "start_gest": _rule_start(RULES["GEST"]),

@@ -21,7 +21,9 @@ from natalis.sources.tables import cut_lineage
 
 @dataclass(frozen=True)
 class EpisodePlan:
-    """Each stage of the run as a DataFrame; nothing runs before an action.
+    """Each stage of the run as a DataFrame.
+
+    Building one stores and counts the code map (to choose how it is joined) and nothing else.
 
     ``store_events`` writes the counted events to the checkpoint folder, which
     pays off when several stages are computed from one plan.

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NUMBER = "decimal(24,12)"
+# Stands for recorded numbers beyond any use; seven times as much still fits.
+OUT_OF_RANGE = 10**10
 
 CONDITION, PROCEDURE, OBSERVATION, MEASUREMENT, DRUG = "Cond", "Proc", "Obs", "Meas", "Drug"
 
@@ -88,10 +90,17 @@ def records(
         _as(table, date, "start_date", "date"),
         F.lit(kind).alias("type"),
         _as(table, text, "value_as_string", "string") if text else F.lit(" ").alias("value_as_string"),
-        (F.col(number).try_cast(NUMBER) if number else F.lit(None).cast(NUMBER)).alias("value_as_number"),
+        (_number(F.col(number)) if number else F.lit(None).cast(NUMBER)).alias("value_as_number"),
     )
 
 
+def _number(value: Column) -> Column:
+    """A recorded number; text that is none becomes NULL, a number too large for the type one far out of range."""
+    exact, wide = value.try_cast(NUMBER), value.try_cast("double")
+    far = F.when(wide < 0, F.lit(-OUT_OF_RANGE)).otherwise(F.lit(OUT_OF_RANGE)).cast(NUMBER)
+    return F.when(exact.isNull() & wide.isNotNull(), far).otherwise(exact)
+
+
 def _as(table: DataFrame, column: str, name: str, kind: str) -> Column:
     """A column under a name and type, left alone where it has both.
 

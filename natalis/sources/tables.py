@@ -56,8 +56,8 @@ def write_csv(summary: DataFrame, path: str) -> None:
 def cut_lineage(table: DataFrame) -> DataFrame:
     """Store ``table`` in the shared checkpoint folder and go on from there.
 
-    The folder is the session's ``spark.checkpoint.dir``. Without one a local
-    session uses a temporary folder, and a cluster goes on with the table uncut.
+    The folder is the session's ``spark.checkpoint.dir``. Only a local session
+    without one uses a temporary folder; on a cluster it must be set.
     """
     spark = table.sparkSession
     context = spark.sparkContext
@@ -66,6 +66,6 @@ def cut_lineage(table: DataFrame) -> DataFrame:
         if folder is None and context.master.startswith("local"):
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         if folder is None:
-            return table
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder)
     return table.checkpoint()

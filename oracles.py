@@ -374,6 +374,8 @@ def oracles() -> dict[str, str]:
     """SQL by query name."""
     written = _accept(forward=False, veto="cared_before")
     intended = _accept(forward=True, veto="cared_after")
+    forward = _accept(forward=True, veto="cared_before")
+    ahead = _accept(forward=False, veto="cared_after")
     births_written = _accept(forward=False, veto="cared_before", targets=("LB",))
     births_forward = _accept(forward=True, veto="cared_before", targets=("LB",))
     starts = written + _starts(own_prior=False)
@@ -449,7 +451,9 @@ HAVING bool_or(abs((t.event_date - a.event_date) + 1) <
         "accept_lb_as_written": _query(births_written, rows),
         "accept_lb_forward": _query(births_forward, rows),
         "accept_all_as_written": _query(written, rows),
-        "accept_all_forward": _query(intended, rows),
+        "accept_all_forward": _query(forward, rows),
+        "accept_all_veto_ahead": _query(ahead, rows),
+        "accept_all_intended": _query(intended, rows),
         "prior_outcome": _query(
             written + OUTCOME_ROWS,
             "SELECT person_id, event_id, category, event_date, prior_date AS prior_outcome_date, prior_category "

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from natalis.plans.catalogue import QUERIES
+from oracles import oracles
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -33,15 +35,15 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracles())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    table = entry.queries()[name](spark, SF)
+    table = QUERIES[name](spark, SF)
     columns = sorted(table.columns)
     found = table.select(*columns).collect()
-    result = duck.execute(f"SELECT {', '.join(columns)} FROM ({entry.oracle_sql()[name]})")
+    result = duck.execute(f"SELECT {', '.join(columns)} FROM ({oracles()[name]})")
     assert [c[0] for c in result.description] == columns
     expected = result.fetchall()
     assert found
