@@ -6,10 +6,10 @@ from dataclasses import fields
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from natalis import Cdm, EpisodePlan
 from natalis.operators import events as ev
 from natalis.operators.temporal import COPIES_PER_CHUNK, expand_copies
+from natalis.plans.catalogue import QUERIES
 from natalis.sources.fixtures import code_set, fixture_cdm
 from tests.clinic import Person, cdm, codes
 from tests.test_property import random_events
@@ -22,14 +22,14 @@ def plan_text(table):
 
 
 def test_queries_join_on_keys_and_stay_in_the_jvm(spark):
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         text = plan_text(query(spark, SF))
         for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
             assert node not in text, (name, node)
 
 
 def test_scans_read_only_the_columns_used(spark):
-    text = plan_text(entry.queries()["episodes_final"](spark, SF))
+    text = plan_text(QUERIES["episodes_final"](spark, SF))
     assert "l_extendedprice" not in text and "l_comment" not in text and "o_totalprice" not in text
 
 
@@ -110,6 +110,6 @@ def test_large_code_map_is_joined_by_shuffle(spark, monkeypatch):
 
 @pytest.mark.parametrize("name", ["episodes_final", "episodes_final_intended"])
 def test_accepted_outcomes_never_clash(spark, name):
-    final = entry.queries()[name](spark, SF)
+    final = QUERIES[name](spark, SF)
     assert final.filter("episode_length < 1 OR episode_start_date > episode_end_date").count() == 0
     assert final.groupBy("person_id", "episode_end_date").count().filter("count > 1").count() == 0
