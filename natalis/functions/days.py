@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS_PER_DAY = 86_400_000_000
+# More days than lie between any two dates.
+BEYOND_CALENDAR = 10_000_000
 
 
 def day_of(date: Column | str) -> Column:
@@ -29,8 +31,11 @@ def gestation_start_micros(day: Column, gest_days: Column) -> Column:
     """First day of a pregnancy that is ``gest_days`` old on ``day``, in microseconds.
 
     Gestation may be fractional (weeks such as 10 1/7 times 7), so it is
-    rounded to the microsecond before it is taken off the date.
+    rounded to the microsecond before it is taken off the date. What is longer
+    than the calendar, in either direction, is cut to more than the calendar.
     """
+    most = F.lit(BEYOND_CALENDAR).cast("decimal(24,12)")
+    gest_days = F.when(gest_days.isNotNull(), F.greatest(F.least(gest_days, most), -most)).cast("decimal(24,12)")
     gest_micros = F.round(gest_days * F.lit(MICROS_PER_DAY).cast("decimal(12,0)"), 0).cast("long")
     return (day + 1) * F.lit(MICROS_PER_DAY) - gest_micros
 

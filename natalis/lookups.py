@@ -52,6 +52,7 @@ SA       70      70       70       70
 LIMIT_SCHEMA = "outcome_limit_id int, first_preg_category string, outcome_preg_category string, min_days int"
 TERM_SCHEMA = "category string, max_term int, min_term int, retry int"
 EST_SCHEMA = "gest_est_id int, category string, preterm int, postterm int, fullterm int, nodata int"
+CODE_SCHEMA = "concept_id int, category string, gest_value int, data_value string"
 SCHEMAS = {"outcome_limit": LIMIT_SCHEMA, "term_durations": TERM_SCHEMA, "gest_est": EST_SCHEMA}
 
 KEYS = {
@@ -136,10 +137,11 @@ class Lookups:
         return {name: values(spark, rows[name], schema) for name, schema in SCHEMAS.items()}
 
 
-def read_csv(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
-    """One headed CSV file of ``folder``, with an explicit schema."""
+def read_csv(spark: SparkSession, folder: str, name: str, schema: str | None) -> DataFrame:
+    """One headed CSV file of ``folder``, with the given schema or with types found in the file."""
     path = f"{folder.rstrip('/')}/{PurePath(name).name}.csv"
-    return spark.read.option("header", True).schema(schema).csv(path)
+    reader = spark.read.option("header", True)
+    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
 def values(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:

@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from natalis.functions.classify import DRUG_CATEGORIES, DRUG_CLASSES, TARGETS, matches_value, usable_event
-from natalis.functions.days import date_of, day_of
+from natalis.functions.classify import (
+    DRUG_CATEGORIES,
+    DRUG_CLASSES,
+    MAX_GESTATION_DAYS,
+    TARGETS,
+    matches_value,
+    usable_event,
+)
+from natalis.functions.days import ceil_day, date_of, day_of, floor_day, gestation_start_micros
 from natalis.operators.temporal import (
     PERSON,
     broadcast_if_small,
@@ -72,8 +79,24 @@ def gestation_days() -> Column:
     )
 
 
-def counted_events(coded: DataFrame) -> DataFrame:
-    """Coded records as distinct events with their number of copies ``n``."""
+def start_bound_days() -> Column:
+    """Gestation cut to what a start depends on: whole days, or half a day more for any part of one.
+
+    The first and the last day that a start touches stay the same. What is unusable becomes NULL.
+    """
+    gest = F.col("gest_value")
+    micros = gestation_start_micros(F.lit(0), gest)
+    cut = (2 - floor_day(micros) - ceil_day(micros)) / F.lit(2).cast("decimal(1,0)")
+    recorded = (F.col("category") == "GEST") & ~F.col("for_drug")
+    return F.when(recorded, F.when(gest <= MAX_GESTATION_DAYS, cut)).otherwise(gest).cast(NUMBER)
+
+
+def counted_events(coded: DataFrame, exact: bool = True) -> DataFrame:
+    """Coded records as distinct events with their number of copies ``n``.
+
+    Unless ``exact``, gestation is cut to whole and half days: however many different values
+    a person has, the rows of a day are bounded by the days on which a start can lie.
+    """
     events = coded.select(
         PERSON,
         "for_drug",
@@ -82,6 +105,8 @@ def counted_events(coded: DataFrame) -> DataFrame:
         gestation_days().alias("gest_value"),
     )
     events = events.filter(F.col(PERSON).isNotNull())
+    if not exact:
+        events = events.withColumn("gest_value", start_bound_days())
     return count_copies(events, PERSON, "for_drug", "category", "day", "gest_value")
 
 

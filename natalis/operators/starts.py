@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,17 +63,17 @@ def window_of(lookups: Lookups, prior_day: Column) -> tuple[Column, Column]:
     return first, end - lookup("category", lookups.min_term)
 
 
-def evidence(events: DataFrame) -> DataFrame:
-    """Events that date a start: person, rule and the start as a (possibly split) day."""
+def evidence(events: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Events that date a start by ``rules``: person, rule and the start as a (possibly split) day."""
     category = F.col("category")
     rule, offset = F.lit(None).cast("string"), F.lit(None).cast("int")
-    for r in RULES:
+    for r in rules:
         rule = F.when(category.isin(*r.categories), r.name).otherwise(rule)
         offset = F.when(category.isin(*r.categories), r.offset).otherwise(offset)
     start = F.col("day") - offset
     micros = gestation_start_micros(F.col("day"), F.col("gest_value"))
     by_gestation = category == "GEST"
-    return events.filter(category.isin(*(c for r in RULES for c in r.categories))).select(
+    return events.filter(category.isin(*(c for r in rules for c in r.categories))).select(
         PERSON,
         rule.alias("rule"),
         "day",
@@ -101,8 +102,10 @@ def self_numbered(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col(PERSON) == F.col("event_id"))
 
 
-def dated_outcomes(outcomes: DataFrame, events: DataFrame, lookups: Lookups) -> DataFrame:
-    """Outcomes with one start day per rule, NULL where nothing fits.
+def dated_outcomes(
+    outcomes: DataFrame, events: DataFrame, lookups: Lookups, rules: Sequence[Rule] = RULES
+) -> DataFrame:
+    """Outcomes with one start day for each of ``rules``, NULL where nothing fits.
 
     A start window lies wholly after the prior outcome, so a piece of evidence
     can only belong to the next outcome after the start it stands for. Outcomes
@@ -114,7 +117,7 @@ def dated_outcomes(outcomes: DataFrame, events: DataFrame, lookups: Lookups) ->
     ends = F.struct(F.lit(OUTCOME).alias("kind"), F.col("end_day").alias("at"))
     asks = F.struct(F.lit(QUERY).alias("kind"), F.col("ovul2_from").alias("at"))
     points = outcomes.select(PERSON, fields.alias("own"), F.inline(F.array(ends, asks))).filter("at IS NOT NULL")
-    found = evidence(events).select(
+    found = evidence(events, rules).select(
         "*", F.lit(EVIDENCE).alias("kind"), F.col("start_floor").alias("at")
     )
     line = found.unionByName(points, allowMissingColumns=True)
@@ -142,9 +145,9 @@ def dated_outcomes(outcomes: DataFrame, events: DataFrame, lookups: Lookups) ->
     first, last = window_of(lookups, F.col("prior_day"))
     inside = (F.col("start_floor") >= first) & (F.col("start_ceil") <= last)
     kept = flat.filter((F.col("kind") != EVIDENCE) | inside)
-    picks = [_pick(rule).alias(rule.column) for rule in RULES if rule.name != "OVUL2"]
     asked = F.max(F.when(F.col("next_ovul2") <= last, F.col("next_ovul2")))
-    return kept.groupBy(PERSON, *CARRIED).agg(*picks, asked.alias("ovul2_start"))
+    picks = [(asked if rule.name == "OVUL2" else _pick(rule)).alias(rule.column) for rule in rules]
+    return kept.groupBy(PERSON, *CARRIED).agg(*picks)
 
 
 def _pick(rule: Rule) -> Column:

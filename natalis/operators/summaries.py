@@ -41,19 +41,23 @@ def add_global_number(rows: DataFrame, name: str, key: str, *then: str) -> DataF
     )
 
 
+def outcome_concept() -> Column:
+    """Concept id of the recorded outcome, 0 for one without."""
+    return F.coalesce(lookup("original_outcome", OUTCOME_CONCEPTS), F.lit(0)).cast("double")
+
+
 def mother_table(episodes: DataFrame) -> DataFrame:
     """Episodes under the names and concept ids of the mother table.
 
     Reads ``episodes`` more than once: pass a stored or checkpointed table.
     """
-    outcome = F.coalesce(lookup("original_outcome", OUTCOME_CONCEPTS), F.lit(0))
     return add_global_number(episodes, "pregnancy_id", "person_id", "episode").select(
         "person_id",
         "pregnancy_id",
         F.col("episode_start_date").alias("pregnancy_start_date"),
         F.col("episode_end_date").alias("pregnancy_end_date"),
         F.col("episode_length").alias("gestational_length_in_day"),
-        outcome.cast("double").alias("original_outcome"),
+        outcome_concept().alias("original_outcome"),
         F.lit(None).cast("int").alias("pregnancy_mode_delivery"),
         F.lit(None).cast("int").alias("pregnancy_single"),
         (F.col("episode") - 1).alias("prev_pregnancy_gravidity"),
@@ -82,3 +86,8 @@ def episodes_per_person(episodes: DataFrame) -> DataFrame:
 def outcome_counts(episodes: DataFrame) -> DataFrame:
     """Episodes by recorded outcome."""
     return episodes.groupBy("original_outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def outcome_concept_counts(episodes: DataFrame) -> DataFrame:
+    """Episodes by the outcome's concept id, which joins outcomes that share one."""
+    return episodes.groupBy(outcome_concept().alias("original_outcome")).agg(F.count(F.lit(1)).alias("n"))

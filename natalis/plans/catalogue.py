@@ -18,7 +18,7 @@ from natalis.operators.temporal import PERSON, latest_day
 from natalis.options import Options
 from natalis.plans.pipeline import EpisodePlan
 from natalis.sources.cdm import Cdm
-from natalis.sources.fixtures import code_set, fixture_cdm
+from natalis.sources.fixtures import code_set, fixture_cdm, split_cdm
 from natalis.sources.tables import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,7 @@ def glucose_only_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gestation_to_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events other than drugs with gestation in days, and the number of equal ones."""
-    cleaned = plan_of(spark, sf_dir).cleaned.filter(~F.col("for_drug"))
+    cleaned = ev.clean_events(plan_of(spark, sf_dir).exact).filter(~F.col("for_drug"))
     return cleaned.select(
         PERSON,
         "category",
@@ -193,6 +193,21 @@ def spacing_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spacing_conflicts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates too close to any other accepted outcome, whatever its category."""
+    plan = plan_of(spark, sf_dir, FORWARD)
+    step = lookup("category", {target: i for i, target in enumerate(TARGETS, 1)})
+    candidates = oc.judged_candidates(plan.telling, plan.lookups).withColumn("step", step)
+    accepted = plan.outcomes.groupBy(PERSON).agg(
+        F.collect_list(F.struct("event_id", "end_day", step.alias("step"))).alias("accepted")
+    )
+    close, own = oc.too_close(plan.lookups, plan.options), F.struct("event_id", "end_day", "step")
+    clash = F.exists("accepted", lambda other: (other["event_id"] != F.col("event_id")) & close(other, own))
+    return candidates.join(accepted, PERSON).filter(clash).select(
+        PERSON, "event_id", "category", date_of("end_day").alias("event_date")
+    )
+
+
 def _accepted(options: Options, *targets: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         plan = plan_of(spark, sf_dir, options)
@@ -216,8 +231,8 @@ def prior_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rule_start(rule: st.Rule, options: Options = AS_WRITTEN) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        dated = plan_of(spark, sf_dir, options).dated.filter(F.col(rule.column).isNotNull())
-        return dated.select(
+        dated = plan_of(spark, sf_dir, options).dated_by((rule,))
+        return dated.filter(F.col(rule.column).isNotNull()).select(
             PERSON,
             "event_id",
             date_of(rule.column).alias("episode_start_date"),
@@ -304,6 +319,11 @@ def episodes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_of(spark, sf_dir).episodes
 
 
+def episodes_final_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result table, from five clinical tables that are each read on their own."""
+    return EpisodePlan(split_cdm(spark, sf_dir), code_set(spark)).episodes
+
+
 def episodes_final_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result table under the rules as intended."""
     return plan_of(spark, sf_dir, Options.intended()).episodes
@@ -349,6 +369,11 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return su.outcome_counts(plan_of(spark, sf_dir).episodes)
 
 
+def outcome_concept_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes by the outcome's concept id, as in the mother table."""
+    return su.outcome_concept_counts(plan_of(spark, sf_dir).episodes)
+
+
 RULES = {rule.name: rule for rule in st.RULES}
 
 QUERIES: dict[str, Query] = {
@@ -366,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "veto_lookback": veto_lookback,
     "veto_lookahead": veto_lookahead,
     "spacing_conflicts": spacing_conflicts,
+    "spacing_conflicts_all": spacing_conflicts_all,
     "accept_lb_as_written": _accepted(AS_WRITTEN, "LB"),
     "accept_lb_forward": _accepted(FORWARD, "LB"),
     "accept_all_as_written": _accepted(AS_WRITTEN, *TARGETS),
@@ -392,10 +418,12 @@ QUERIES: dict[str, Query] = {
     "episodes_eligible": episodes_eligible,
     "episodes_corroborated": episodes_corroborated,
     "episodes_final": episodes_final,
+    "episodes_final_split": episodes_final_split,
     "episodes_final_intended": episodes_final_intended,
     "full_outer_prior_terms": full_outer_prior_terms,
     "mother_table": mother_table,
     "length_histogram": length_histogram,
     "episodes_per_person": episodes_per_person,
     "outcome_counts": outcome_counts,
+    "outcome_concept_counts": outcome_concept_counts,
 }

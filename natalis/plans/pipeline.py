@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -36,18 +37,30 @@ class EpisodePlan:
     store_events: bool = False
 
     @cached_property
-    def counted(self) -> DataFrame:
-        mapping = ev.code_map(self.cdm, self.codes)
-        counted = ev.counted_events(ev.map_codes(self.cdm.all_records(), mapping))
+    def _coded(self) -> DataFrame:
+        return ev.map_codes(self.cdm.all_records(), ev.code_map(self.cdm, self.codes))
+
+    def _stored(self, counted: DataFrame) -> DataFrame:
         return cut_lineage(counted) if self.store_events else counted
 
+    @cached_property
+    def exact(self) -> DataFrame:
+        """Counted events with gestation as recorded."""
+        return self._stored(ev.counted_events(self._coded))
+
+    @cached_property
+    def counted(self) -> DataFrame:
+        """Counted events with gestation in whole and half days, which bounds a person's rows."""
+        return self._stored(ev.counted_events(self._coded, exact=False))
+
     @cached_property
     def cleaned(self) -> DataFrame:
         return ev.clean_events(self.counted)
 
     @cached_property
     def events(self) -> DataFrame:
-        return ev.number_events(self.cleaned)
+        """All events, gestation as recorded."""
+        return ev.number_events(ev.clean_events(self.exact))
 
     @cached_property
     def telling(self) -> DataFrame:
@@ -70,12 +83,18 @@ class EpisodePlan:
         found = st.self_numbered(oc.accept_outcomes(few, self.lookups, self.options))
         return found.repartition("event_id")
 
+    def dated_by(self, rules: Sequence[st.Rule]) -> DataFrame:
+        """Outcomes with the start day that each of ``rules`` finds; other rules cost nothing."""
+        if any(rule.name == "OVUL2" for rule in rules):
+            lent = None if self.options.ovul2_join == "person" else self.self_numbered
+            asked = st.ovul2_windows(self.outcomes, self.lookups, self.options, lent)
+        else:
+            asked = self.outcomes.withColumn("ovul2_from", F.lit(None).cast("int"))
+        return st.dated_outcomes(asked, self.telling, self.lookups, rules)
+
     @cached_property
     def dated(self) -> DataFrame:
-        lent = None if self.options.ovul2_join == "person" else self.self_numbered
-        asked = st.ovul2_windows(self.outcomes, self.lookups, self.options, lent)
-        dated = st.dated_outcomes(asked, self.telling, self.lookups)
-        return st.add_refined(st.add_starts(dated, self.lookups))
+        return st.add_refined(st.add_starts(self.dated_by(st.RULES), self.lookups))
 
     @cached_property
     def every_start(self) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.lookups import values
+from natalis.lookups import CODE_SCHEMA, values
 from natalis.sources.cdm import CONDITION, DRUG, MEASUREMENT, NUMBER, OBSERVATION, PROCEDURE, Cdm
 
 # Categories of concepts 0 to 31, in order.
@@ -86,7 +86,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1000 + F.col("l_partkey") % 40).cast("int").alias("drug_concept_id"),
         ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 10).cast("int").alias("dom"),
         F.col("l_returnflag").alias("flag"),
-        F.when(quantity % 3 == 0, quantity).alias("number"),
+        F.when(quantity % 3 == 0, quantity + quantity % 2 * F.lit("0.1").cast("decimal(2,1)")).alias("number"),
     )
 
 
@@ -125,7 +125,7 @@ def code_set(spark: SparkSession) -> DataFrame:
         for i, category in enumerate(CONCEPT_CATEGORIES)
     ]
     rows += [(i, category, None, "N/A") for i, category in DRUG_CONCEPTS.items()]
-    return values(spark, rows, "concept_id int, category string, gest_value int, data_value string")
+    return values(spark, rows, CODE_SCHEMA)
 
 
 def persons(customers: DataFrame) -> DataFrame:
@@ -197,3 +197,9 @@ def fixture_cdm(spark: SparkSession, sf_dir: str) -> FactsCdm:
         person=persons(customers),
         facts=coded,
     )
+
+
+def split_cdm(spark: SparkSession, sf_dir: str) -> Cdm:
+    """The same clinical tables, each read on its own as stored tables would be."""
+    whole = fixture_cdm(spark, sf_dir)
+    return Cdm(**{field.name: getattr(whole, field.name) for field in fields(Cdm)})

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import PurePath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from natalis.lookups import SCHEMAS, Lookups, read_csv
+from natalis.lookups import CODE_SCHEMA, SCHEMAS, Lookups, read_csv
 
 # Result columns and types; "datetime" of the source design holds whole days.
 EPISODE_COLUMNS = (
@@ -28,9 +30,14 @@ def write_lookups(spark: SparkSession, lookups: Lookups, schema: str) -> None:
 
 
 def load_lookups(spark: SparkSession, folder: str, schema: str) -> None:
-    """Store the lookup files of ``folder`` as tables of ``schema``, replacing those present."""
-    for name, columns in SCHEMAS.items():
-        read_csv(spark, folder, name, columns).write.mode("overwrite").saveAsTable(f"{schema}.{name}")
+    """Store every CSV file of ``folder`` as a table of ``schema`` under its name, replacing those present.
+
+    The three lookups and the code set ``pregnancy_concepts`` have fixed types; those of other files are inferred.
+    """
+    known = SCHEMAS | {"pregnancy_concepts": CODE_SCHEMA}
+    for file in spark.read.text(f"{folder.rstrip('/')}/*.csv").inputFiles():
+        name = PurePath(unquote(file)).stem
+        read_csv(spark, folder, name, known.get(name)).write.mode("overwrite").saveAsTable(f"{schema}.{name}")
 
 
 def create_episodes(spark: SparkSession, table: str) -> None:

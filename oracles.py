@@ -7,11 +7,44 @@ engine does none of these.
 
 from __future__ import annotations
 
-from natalis.functions.classify import EXTRA_CANDIDATES, OUTCOME_CONCEPTS, OUTCOMES, TARGETS
-from natalis.lookups import Lookups
-from natalis.sources.fixtures import CONCEPT_CATEGORIES, DRUG_CONCEPTS
-
-LOOKUPS = Lookups.fixed()
+# Fixed values, stated here again so that a wrong one in the engine shows.
+TARGETS = ("LB", "SB", "ECT", "AB", "SA", "DELIV")
+OUTCOMES = ("LB", "SB", "DELIV", "TRO", "ECT", "AB", "SA")
+EXTRA_CANDIDATES = {
+    "LB": (),
+    "SB": ("AGP", "PCONF"),
+    "ECT": ("AGP", "PCONF", "ECT_SURG1", "ECT_SURG2", "MTX"),
+    "AB": ("AGP", "PCONF"),
+    "SA": ("AGP", "PCONF"),
+    "DELIV": ("AGP", "PCONF"),
+}
+OUTCOME_CONCEPTS = {"LB": 4092289, "DELIV": 4092289, "SA": 4067106, "SB": 4067106, "AB": 4081422, "ECT": 4081422}
+# Least days to an outcome (in the order of OUTCOMES) after the one named.
+MIN_DAYS = {
+    "LB": (182, 168, 168, 70, 70, 70, 70),
+    "SB": (182, 168, 168, 70, 70, 70, 70),
+    "DELIV": (182, 168, 168, 70, 70, 70, 70),
+    "TRO": (168, 154, 154, 730, 56, 56, 365),
+    "ECT": (168, 154, 154, 365, 56, 56, 56),
+    "AB": (168, 154, 154, 365, 56, 56, 56),
+    "SA": (168, 154, 154, 365, 56, 56, 56),
+}
+# Longest and shortest term, days to the next conception.
+TERM_ROWS = """
+('LB', 301, 161, 28), ('SB', 301, 100, 28), ('DELIV', 301, 140, 28), ('TRO', 365, 42, 14),
+('ECT', 84, 42, 14), ('AB', 168, 42, 14), ('SA', 139, 28, 14)
+"""
+# Assumed days of a preterm and a full-term pregnancy, and without a remark.
+LENGTH_ROWS = """
+('LB', 245, 280, 280), ('SB', 196, 280, 196), ('DELIV', 245, 280, 280), ('TRO', 56, 56, 56),
+('ECT', 56, 56, 56), ('AB', 70, 70, 70), ('SA', 70, 70, 70)
+"""
+# The code set of FIXTURES.md: concepts 0 to 31, and drugs.
+CONCEPT_CATEGORIES = (
+    "LB LB DELIV DELIV SB AB AB SA SA ECT TRO AGP PCONF PCOMP TA ECT_SURG1 ECT_SURG2 LMP LMP "
+    "GEST GEST GEST OVUL OVUL2 NULS AFP AMEN UP PREM POSTT FT DIAB"
+).split()
+DRUG_CONCEPTS = {101: "CONTRA", 102: "MTX", 103: "OVULDR"}
 
 
 def _codes() -> str:
@@ -72,7 +105,7 @@ raw_events AS MATERIALIZED (
   SELECT c.category, c.gest_value, f.person_id, f.d AS start_date,
          CASE WHEN dom < 4 THEN 'Cond' WHEN dom < 6 THEN 'Proc' WHEN dom = 6 THEN 'Obs' ELSE 'Meas' END AS type,
          CASE WHEN dom < 6 THEN ' ' ELSE flag END AS value_as_string,
-         CASE WHEN dom >= 6 AND qty % 3 = 0 THEN qty END AS value_as_number
+         CASE WHEN dom >= 6 AND qty % 3 = 0 THEN qty + qty % 2 * 0.1 END AS value_as_number
   FROM facts f JOIN pregnancy_concepts c USING (concept_id)
   WHERE dom < 8 AND (dom < 6 OR c.data_value IN ('N/A', flag))
 ),
@@ -170,7 +203,7 @@ cared_after AS (
 )
 
 _LIMITS = (
-    "MAP {" + ", ".join(f"'{a}>{b}': {days}" for (a, b), days in LOOKUPS.min_days.items()) + "}"
+    "MAP {" + ", ".join(f"'{a}>{b}': {days}" for a, row in MIN_DAYS.items() for b, days in zip(OUTCOMES, row)) + "}"
 )
 
 
@@ -210,20 +243,12 @@ accepted AS MATERIALIZED (
 )"""
 
 
-def _terms(values: dict[str, int]) -> str:
-    return " ".join(f"WHEN '{c}' THEN {v}" for c, v in values.items())
-
-
 OUTCOME_ROWS = f""",
 term_durations AS (
-  SELECT * FROM (VALUES {", ".join(
-      f"('{c}', {LOOKUPS.max_term[c]}, {LOOKUPS.min_term[c]}, {LOOKUPS.retry[c]})" for c in LOOKUPS.max_term
-  )}) AS t(category, max_term, min_term, retry)
+  SELECT * FROM (VALUES {TERM_ROWS}) AS t(category, max_term, min_term, retry)
 ),
 gest_est AS (
-  SELECT * FROM (VALUES {", ".join(
-      f"('{c}', {LOOKUPS.preterm[c]}, {LOOKUPS.fullterm[c]}, {LOOKUPS.nodata[c]})" for c in LOOKUPS.preterm
-  )}) AS t(category, preterm, fullterm, nodata)
+  SELECT * FROM (VALUES {LENGTH_ROWS}) AS t(category, preterm, fullterm, nodata)
 ),
 prior AS MATERIALIZED (
   SELECT o.person_id, o.event_id, p.event_date AS prior_date, p.category AS prior_category
@@ -274,12 +299,14 @@ spans AS MATERIALIZED (
 ),
 signs AS MATERIALIZED (
   SELECT m.person_id, r.rule, r.rank, m.event_date,
-         m.event_date - if(r.rule = 'GEST', CAST(m.gest_value AS INTEGER) - 1, r.days) AS start
+         CAST(m.event_date AS TIMESTAMP) - to_microseconds(CAST(round(86400000000 *
+           if(r.rule = 'GEST', CAST(m.gest_value AS DOUBLE) - 1, r.days)) AS BIGINT)) AS start
   FROM moved m JOIN rules r USING (category)
 ),
 found AS MATERIALIZED (
   SELECT s.person_id, s.event_id, g.rule, g.rank,
-         if(g.rule IN ('LMP', 'CONTRA', 'GEST'), arg_max(g.start, (g.event_date, g.start)), min(g.start)) AS episode_start_date
+         CAST(if(g.rule IN ('LMP', 'CONTRA', 'GEST'), arg_max(g.start, (g.event_date, g.start)), min(g.start)) AS DATE)
+           AS episode_start_date
   FROM spans s JOIN signs g ON g.person_id = s.person_id AND g.start <= s.last_start
   WHERE if(g.rule = 'OVUL2', s.lent AND g.start >= s.first_lent, g.start >= s.first_start)
   GROUP BY s.person_id, s.event_id, g.rule, g.rank
@@ -447,6 +474,14 @@ WHERE t.category <> 'LB'
 GROUP BY ALL
 HAVING bool_or(abs((t.event_date - a.event_date) + 1) <
   CASE WHEN a.event_date <= t.event_date THEN {_LIMITS}['LB>' || t.category] ELSE {_LIMITS}[t.category || '>LB'] END)""",
+        ),
+        "spacing_conflicts_all": _query(
+            forward,
+            f"""
+SELECT DISTINCT t.person_id, t.event_id, t.category, t.event_date
+FROM targets t JOIN accepted a ON a.person_id = t.person_id AND a.event_id <> t.event_id
+WHERE abs((t.event_date - a.event_date) + 1) < CASE WHEN a.event_date <= t.event_date
+  THEN {_LIMITS}[a.category || '>' || t.category] ELSE {_LIMITS}[t.category || '>' || a.category] END""",
         ),
         "accept_lb_as_written": _query(births_written, rows),
         "accept_lb_forward": _query(births_forward, rows),
@@ -473,6 +508,7 @@ HAVING bool_or(abs((t.event_date - a.event_date) + 1) <
         "episodes_eligible": _query(starts, f"{listed} eligible"),
         "episodes_corroborated": _query(starts, f"{listed} corroborated"),
         "episodes_final": _query(starts, "SELECT * FROM final"),
+        "episodes_final_split": _query(starts, "SELECT * FROM final"),
         "episodes_final_intended": _query(intended + _starts(own_prior=True), "SELECT * FROM final"),
         "full_outer_prior_terms": _query(
             written + OUTCOME_ROWS,
@@ -504,6 +540,11 @@ FROM final""",
         "outcome_counts": _query(
             starts, "SELECT original_outcome, count(*) AS n FROM final GROUP BY original_outcome"
         ),
+        "outcome_concept_counts": _query(
+            starts,
+            f"SELECT CAST(CASE original_outcome {concepts} ELSE 0 END AS DOUBLE) AS original_outcome, count(*) AS n "
+            "FROM final GROUP BY ALL",
+        ),
     }
     rule_queries = {
         "lmp": "LMP",
