@@ -7,14 +7,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm.base import shared_folder, table
+from natalis.llm.base import cut, shared_folder, table
 from natalis.llm.curriculum import ordered, plan, repeating
 from natalis.llm.language import identify, learn
-from natalis.llm.near import near_duplicates
+from natalis.llm.near import BROADCAST_IDS, near_duplicates
 from natalis.llm.postings import contamination
 from natalis.llm.repeats import remove_repeats
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose id is not among ``ids`` (a column ``id``).
+
+    The ids are stored and counted: up to ``BROADCAST_IDS`` of them (some 32 MB) go to every task, so that
+    no text is shuffled; beyond, the join shuffles.
+    """
+    ids = cut(ids.select("id").distinct())
+    gone = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.id")), "left_anti")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language mixture explains them; those without a letter or of no learned language go."""
     model = learn(docs)
@@ -23,23 +34,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: the one with the smallest id."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("id").alias("_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    return without(docs, near_duplicates(docs).where("not kept"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out words of repeated windows; texts that lose none stay as they are, documents that lose all go."""
-    found = remove_repeats(docs).where("n_removed > 0").select(F.col("id").alias("_id"), "kept", (F.col("n_words") > F.col("n_removed")).alias("left"))
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").where("left is null or left")
-    text = F.coalesce("kept", "text")
-    changed = {"text": text, "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.char_length("kept")).cast("long")}
-    return rows.withColumns(changed).select(*docs.columns)
+    found = remove_repeats(docs).where("n_removed > 0").select("id", "kept", (F.col("n_words") > F.col("n_removed")).alias("left"))
+    rows = docs.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.id")), "left").where("f.left is null or f.left")
+    kept = F.col("f.kept")
+    changed = {
+        "text": F.coalesce(kept, F.col("d.text")).alias("text"),
+        "n_chars": F.when(kept.isNull(), F.col("d.n_chars")).otherwise(F.char_length(kept)).cast("long").alias("n_chars"),
+    }
+    return rows.select(*(changed.get(c, F.col(f"d.`{c}`")) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that benchmark windows contaminate."""
-    bad = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("id").alias("_id"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    return without(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
