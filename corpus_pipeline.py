@@ -26,6 +26,17 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.id")), "left_anti")
 
 
+def once(docs: DataFrame) -> DataFrame:
+    """The documents with rows of equal id and text, nulls included, taken once; only texts of repeated ids are shuffled."""
+    repeated = cut(docs.groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id"))
+    rows = repeated.count()
+    if not rows:
+        return docs
+    ids = F.broadcast(repeated) if rows <= BROADCAST_IDS else repeated
+    again = docs.alias("d").join(ids.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.id")), "left_semi")
+    return without(docs, repeated).union(cut(again.dropDuplicates(["doc_id", "text"])))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language mixture explains them; those without a letter or of no learned language go."""
     model = learn(docs)
@@ -33,14 +44,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: the one with the smallest id."""
+    """Keeps one document of each group of near copies: the one with the smallest id, once if its row is repeated."""
+    docs = once(docs)
     return without(docs, near_duplicates(docs).where("not kept"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out words of repeated windows; texts that lose none stay as they are, documents that lose all go."""
-    found = remove_repeats(docs).where("n_removed > 0").select("id", "kept", (F.col("n_words") > F.col("n_removed")).alias("left"))
-    rows = docs.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.id")), "left").where("f.left is null or f.left")
+    """Takes out words of repeated windows; texts that lose none stay as they are, documents that lose all go.
+
+    Rows are told apart by id and text: those that agree in both lose all words or none, so none is multiplied.
+    """
+    row = F.concat_ws(" ", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
+    keyed = docs.withColumn("_row", row)
+    found = remove_repeats(keyed, "_row").where("n_removed > 0").select("id", "kept", (F.col("n_words") > F.col("n_removed")).alias("left"))
+    rows = keyed.alias("d").join(found.alias("f"), F.col("d._row") == F.col("f.id"), "left").where("f.left is null or f.left")
     kept = F.col("f.kept")
     changed = {
         "text": F.coalesce(kept, F.col("d.text")).alias("text"),
@@ -56,7 +73,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training order: documents as often as the curriculum takes them, sorted by position."""
-    return ordered(docs, plan(docs, repeating(5, 2, 1)))
+    return ordered(once(docs), plan(docs, repeating(5, 2, 1)))
 
 
 STAGES = [

@@ -404,3 +404,21 @@ def test_pipeline(spark, awkward, tmp_path):
             judged = hit_words(before, items)
             assert set(after) == {i for i in before if not judged[i][3]}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == at.count() > 0
+
+
+def test_repeated_rows_in_the_pipeline(spark):
+    """A row that stands twice, null ids included, is kept once by near-dedup and loses nothing after it."""
+    rng = np.random.default_rng(11)
+    say = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    long, short, nameless, other, single = say(200), say(9), say(120), say(120), say(80)
+    rows = [(1, long), (1, long), (2, short), (2, short), (None, nameless), (None, nameless), (None, other), (3, single)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    want = sorted([(1, long), (2, short), (3, single), (-1, nameless), (-1, other)])
+    left = lambda df: sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in df.collect())
+    at = corpus_pipeline.near_dedup(spark, docs, "")
+    assert left(at) == want
+    at = corpus_pipeline.substring_dedup(spark, at, "")
+    assert left(at) == want
+    planned = curriculum.plan(docs, curriculum.repeating(5, 2, 1))
+    turns = sorted((-1 if r.id is None else r.id, p) for r in planned.collect() for p in r.positions)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.position) for r in corpus_pipeline.mixing(spark, docs, "").collect()) == turns
