@@ -33,7 +33,7 @@ SLICE = 1 << 20
 LABELLERS = {
     "symbols per character": (0.02, 0.002),
     "letters and blanks per character": (0.85, 0.93),
-    "distinct words per word, up to 200 words": (0.3, 0.5),
+    "distinct words per word, mean over runs of 200 words": (0.3, 0.5),
     "words equal to the one before": (0.1, 0.02),
     "distinct lines per line": (0.6, 0.9),
     "words per stop, comma or line end": (60.0, 25.0),
@@ -41,20 +41,30 @@ LABELLERS = {
 }
 _SYMBOLS = set(b"#$%&*|<>{}[]\\^~_=+@")
 _CLASS = np.array([7 if c >= 128 else 0 if 97 <= c <= 122 else 1 if 65 <= c <= 90 else 2 if 48 <= c <= 57 else 3 if c == 32 else 4 if c in (9, 10, 11, 12, 13) else 5 if c in b".,;:!?'\"-()" else 6 for c in range(256)], np.int64)
+#: Words of a run in which distinct words are counted, so that their share doesn't fall with a text's length.
+RUN = 200
 _IS_SYMBOL = np.array([c in _SYMBOLS for c in range(256)])
 
 
+def distinct_share(hashes: np.ndarray) -> float:
+    """The mean share of distinct words over all consecutive runs of ``RUN`` words; the last one may be shorter."""
+    run = np.arange(len(hashes)) // RUN
+    order = np.lexsort((hashes, run))
+    run, ordered = run[order], hashes[order]
+    new = np.append(True, (ordered[1:] != ordered[:-1]) | (run[1:] != run[:-1]))
+    return float((np.bincount(run, new) / np.bincount(run)).mean())
+
+
 def measures(data: np.ndarray, hashes: np.ndarray) -> list[float]:
     """The labellers' values for one text of at least one word."""
     classes = np.bincount(_CLASS[data], minlength=CLASSES)
     n = len(data)
     lines = [x for x in re.split(rb"\n+", data.tobytes()) if x.strip()]
-    head = hashes[:200]
     breaks = int(np.isin(data, np.frombuffer(b".,\n;!?", np.uint8)).sum())
     return [
         float(_IS_SYMBOL[data].sum() / n),
         float((classes[0] + classes[1] + classes[3] + classes[7]) / n),
-        len(np.unique(head)) / len(head),
+        distinct_share(hashes),
         float((hashes[1:] == hashes[:-1]).mean()) if len(hashes) > 1 else 0.0,
         len(set(lines)) / len(lines),
         len(hashes) / (breaks + 1),

@@ -254,6 +254,17 @@ def test_quality(spark, awkward, nothing):
     assert weaklabels.score(empty, *weaklabels.train(empty)).count() == 0
 
 
+def test_distinct_words_of_the_whole_text():
+    """What follows the first 200 words counts as much as they do."""
+    varied, same = np.arange(200, dtype=np.uint64), np.zeros(3800, np.uint64)
+    name = next(k for k, n in enumerate(weaklabels.LABELLERS) if n.startswith("distinct words"))
+    share = lambda hashes: weaklabels.measures(np.frombuffer(b"some words", np.uint8), hashes)[name]
+    assert share(varied) == 1 and share(varied[:7]) == 1
+    assert share(np.append(varied, same)) == pytest.approx((1 + 19 / 200) / 20)
+    assert share(np.append(same, varied)) == pytest.approx((1 + 19 / 200) / 20)
+    assert share(np.append(varied, [5, 5, 5, 6]).astype(np.uint64)) == pytest.approx((1 + 2 / 4) / 2)
+
+
 def test_licences(spark, awkward, nothing):
     docs = table(spark, SF, "documents")
     added = [(10**6 + k, f"Some words here.\n{t}\nMore.", None, None, None) for k, t in enumerate(["Released under the MIT License.", "Licensed under the Fishing License of the shire.", "All words, no rights."])]
