@@ -279,6 +279,35 @@ def test_licences(spark, awkward, nothing):
     assert 10**6 + 2 not in found
 
 
+def test_licences_wrapped_over_lines(spark):
+    """Statements whose lines are each below a template, alone, behind comment marks and inside longer paragraphs."""
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+    gpl = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+    plain = "The river runs past the old mill\nand the children walk home\nbefore the evening rain begins"
+    cases = [(mit, "mit"), (bsd, "bsd"), (gpl, "gpl"), (f"{plain}\n{bsd}\n{plain}", "bsd"), (f"{plain}\n \t\n{mit}\n\n{plain}", "mit"), (f"{plain}\nReleased under the MIT License.\n{plain}", "mit")]
+    # a blank line between the halves: no paragraph has the statement
+    cases += [(bsd.replace("\n", "\n\n"), None), (plain, None), ("", None), (None, None)]
+    docs = table(spark, SF, "documents")
+    docs = docs.union(spark.createDataFrame([(10**6 + k, t, None, None, None) for k, (t, _) in enumerate(cases)], docs.schema))
+    found = defaultdict(list)
+    for r in licences.scan(docs).where(f"id >= {10**6}").collect():
+        found[r.id - 10**6].append((r.place, r.family, r.confirmed))
+    for k, (_, family) in enumerate(cases):
+        assert [f[1] for f in found[k] if f[2]] == ([family] if family else []), (k, found[k])
+    assert found[0] == [(0, "mit", True)] and found[2] == [(0, "gpl", True)]
+    assert found[4] == [(4, "mit", True)] and found[5] == [(3, "mit", True)]
+
+
 # -- benchmark, lists, mixing
 
 
