@@ -9,13 +9,16 @@ one level deeper (1, 2, 4, 8, 16 values).
 Equal sets are one node. Two rounds keep a large group of near copies from being compared pair by pair: the first
 verifies every node's most similar candidate of smaller id and joins what is linked; in the second a region counts
 only pairs of different components, and all of these are candidates, verified inside the region, so that no
-pair is a row. What remains too large at the last level is
-compared in blocks, all against all. Candidates whose signatures agree far less (four standard deviations) than
+pair is a row. The first round only joins what it can, and compares what remains too large at the last level in
+blocks; the second goes no deeper than ``DEEPEST`` values, and the members of regions that are still too large are compared
+by a prefix filter, which misses no pair: two sets as similar as a link share one of the rarest shingles of each, so
+many as the share leaves out and one more. Every such shingle is a region of its own, and what remains too large there is compared in
+blocks, all against all. Candidates whose signatures agree far less (four standard deviations) than
 those of linked documents are left out; all others are verified on their full sets. Links are
 connected by ``connected``.
 
 At the least similarity of a link, 0.75, a pair shares a first value in one of 16 trees with probability
-1 - 2e-10, the first two with 1 - 2e-6, the first four with 0.998.
+1 - 2e-10, the first two with 1 - 2e-6, the first four with 0.998; no pair depends on more.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and is its own
 component; a text with fewer words than a shingle has its word sequence as its only shingle; rows of equal id are
@@ -38,6 +41,12 @@ WORDS = 5
 SHARE = 75
 TREES, DEPTHS = 16, (1, 2, 4, 8, 16)
 VALUES = TREES * DEPTHS[-1]
+#: Values that the second round reads, at most.
+DEEPEST = 4
+#: Cells in which shingles are counted to tell rare ones: the order is one for all sets, however full the cells.
+CELL_BITS = 20
+#: Members that share a cell of pairs to verify, about.
+CELL = 256
 #: Trees that the first round reads.
 TREES_FIRST = 8
 #: Candidate pairs for each member of a region, in the first and in the second round.
@@ -192,28 +201,27 @@ def _sorted_map(rows: DataFrame, key: str, function, fields: str, *more: str) ->
     return rows.repartition(key).sortWithinPartitions(key, *more).mapInArrow(function, fields)
 
 
-def _regions(nodes: DataFrame, trees: int, per_member: int, leaders: bool) -> DataFrame:
-    """(region, id, component, n, marks) of all regions to compare; nodes are (id, component, n, keys, marks).
+def _measured(rows: DataFrame, per_member: int) -> DataFrame:
+    """The rows (region, id, component, ...) of regions of several components, with size, largest component, and whether the pairs fit."""
+    parts = rows.groupBy("region", "component").agg(F.count("*").alias("c"))
+    stats = parts.groupBy("region").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max_by("component", F.struct("c", "component")).alias("major"), F.count("*").alias("parts"))
+    stats = stats.where("parts > 1").select("region", "m", "major", ((F.col("m") * F.col("m") - F.col("squares")) <= 2 * per_member * F.col("m")).alias("fits"))
+    return cut(rows.join(stats, "region").select(*rows.columns, "m", "major", "fits"))
 
-    A region of one component is left out. One with too many pairs at the last level is cut into blocks: with ``leaders``
-    each has the region's first member too, else every two blocks share a region of their own.
+
+def _fitting(rows: DataFrame) -> DataFrame:
+    """(region, id, component) of measured rows that fit: members of the largest component are dealt to blocks, all others go to each of them."""
+    fitting = rows.where("fits")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    dealt = F.when(F.col("component") == F.col("major"), F.array(F.pmod(F.xxhash64("id"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1))
+    fitting = fitting.select("id", "component", "region", blocks.alias("blocks"), F.explode(dealt).alias("block"))
+    return fitting.select(F.when(F.col("blocks") > 1, F.xxhash64("region", "block")).otherwise(F.col("region")).alias("region"), "id", "component")
+
+
+def _blocks(left: DataFrame, per_member: int, leaders: bool) -> DataFrame:
+    """(region, id, component) of regions (region, id, component, m) cut into blocks: with ``leaders`` each has the
+    region's first member too, else every two blocks share a region of their own.
     """
-    out = None
-    left = nodes.select("id", "component", F.posexplode(F.expr(f"transform(sequence(0, {trees - 1}), t -> slice(keys, t * {len(DEPTHS)} + 1, {len(DEPTHS)}))")).alias("tree", "prefixes"))
-    for level in range(len(DEPTHS)):
-        rows = left.select("id", "component", "prefixes", F.col("prefixes")[level].alias("region"))
-        parts = rows.groupBy("region", "component").agg(F.count("*").alias("c"))
-        stats = parts.groupBy("region").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max_by("component", F.struct("c", "component")).alias("major"), F.count("*").alias("parts"))
-        stats = stats.where("parts > 1").select("region", "m", "major", ((F.col("m") * F.col("m") - F.col("squares")) <= 2 * per_member * F.col("m")).alias("fits"))
-        rows = cut(rows.join(stats, "region").select("region", "id", "component", "prefixes", "m", "major", "fits"))
-        fitting = rows.where("fits")
-        # members of the largest component are dealt to blocks, all others go to each of them
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        dealt = F.when(F.col("component") == F.col("major"), F.array(F.pmod(F.xxhash64("id"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1))
-        fitting = fitting.select("id", "component", "region", blocks.alias("blocks"), F.explode(dealt).alias("block"))
-        fitting = fitting.select(F.when(F.col("blocks") > 1, F.xxhash64("region", "block")).otherwise(F.col("region")).alias("region"), "id", "component")
-        out = fitting if out is None else out.union(fitting)
-        left = rows.where("not fits").select("id", "component", "prefixes", "region", "m")
     many = F.ceil(F.col("m") / per_member).cast("int")
     left = left.withColumn("blocks", many).withColumn("block", F.pmod(F.xxhash64("id"), many).cast("int"))
     if leaders:
@@ -222,8 +230,84 @@ def _regions(nodes: DataFrame, trees: int, per_member: int, leaders: bool) -> Da
     else:
         cell = F.expr("transform(sequence(0, blocks - 1), o -> least(block, o) * blocks + greatest(block, o))")
         left = left.select("region", "id", "component", F.explode(cell).alias("block"))
-    out = out.union(left.select(F.xxhash64("region", "block").alias("region"), "id", "component")).distinct()
-    return out.join(nodes.select("id", "n", "marks"), "id").select("id", "region", "component", "n", "marks")
+    return left.select(F.xxhash64("region", "block").alias("region"), "id", "component")
+
+
+def _marked(regions: DataFrame, nodes: DataFrame) -> DataFrame:
+    return regions.distinct().join(nodes.select("id", "n", "marks"), "id").select("id", "region", "component", "n", "marks")
+
+
+def _regions(nodes: DataFrame, trees: int, per_member: int, depths: tuple[int, ...] = DEPTHS) -> tuple[DataFrame, DataFrame]:
+    """(region, id, component) of all regions whose pairs fit at one of the depths, and (region, id, component, m) of those that never do.
+
+    Nodes are (id, component, n, keys, marks). A region of one component is left out.
+    """
+    out = None
+    left = nodes.select("id", "component", F.posexplode(F.expr(f"transform(sequence(0, {trees - 1}), t -> slice(keys, t * {len(DEPTHS)} + 1, {len(DEPTHS)}))")).alias("tree", "prefixes"))
+    for level in range(len(depths)):
+        rows = left.select("id", "component", "prefixes", F.col("prefixes")[level].alias("region"))
+        rows = _measured(rows, per_member)
+        fitting = _fitting(rows)
+        out = fitting if out is None else out.union(fitting)
+        left = rows.where("not fits").select("id", "component", "prefixes", "region", "m")
+    return out, left.select("region", "id", "component", "m")
+
+
+def _rarest(ids: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
+    """(id, region): of every document's shingles the rarest that any set as similar as ``share`` percent must share one of.
+
+    Rare by counts in cells of hashes, equal counts by hash, so that all sets have the same order.
+    """
+    sets = _sets(ids, ids.count(), docs, size)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for shingles in batch.column("shingles").to_pylist():
+                total[(np.frombuffer(shingles, np.uint64) >> np.uint64(64 - CELL_BITS)).astype(np.int64)] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+    found = sets.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << CELL_BITS, np.int64)
+    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for id_, shingles in zip(batch.column("id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                values = np.frombuffer(shingles, np.uint64)
+                order = np.lexsort((values, counts[(values >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))
+                kept = values[order[: len(values) - -(-share * len(values) // 100) + 1]].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kept), id_, np.int64)), pa.array(kept)], names=["id", "region"])
+
+    return sets.mapInArrow(first, "id long, region long")
+
+
+def _filtered(crowded: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
+    """The rows (id, region, component, n, marks) of cells that together have every pair of crowded members that may be linked.
+
+    Members meet in regions of their rarest shingles, and pairs that may be linked name a cell of two blocks of ids, so that
+    no pair is a row and a member's set is carried once for each block that it has partners in and not for each shingle.
+    """
+    crowded = cut(crowded.select("id", "component").distinct().join(nodes.select("id", "n", "marks"), "id"))
+    members = crowded.count()
+    known = F.broadcast(crowded) if members <= BROADCAST_IDS // 8 else crowded
+    rows = _measured(_rarest(crowded.select("id"), docs, size, share).join(known, "id").select("region", "id", "component"), PAIRS_SECOND)
+    regions = _fitting(rows).union(_blocks(rows.where("not fits"), PAIRS_SECOND, False))
+    regions = regions.select("region", "id").join(known, "id").select("id", "region", "component", "n", "marks")
+    many = np.uint64(max(1, -(-members // CELL)))
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "region"):
+            ids = group.column("id").to_numpy()
+            block = mixed(ids.astype(np.uint64) * _GOLDEN) % many
+            for i, j, _ in _pairs(group, share):
+                cell = mixed((np.minimum(block[i], block[j]) * many + np.maximum(block[i], block[j]) + np.uint64(1)) * _GOLDEN).astype(np.int64)
+                members = np.unique(np.stack([np.concatenate([cell, cell]), np.concatenate([ids[i], ids[j]])], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(members[:, 0]), pa.array(members[:, 1])], names=["region", "id"])
+
+    found = _sorted_map(regions, "region", cells, "region long, id long").distinct()
+    return found.join(known, "id").select("id", "region", "component", "n", "marks")
 
 
 def _nearest(regions: DataFrame, share: int) -> DataFrame:
@@ -322,14 +406,19 @@ def _linked(group: pa.Table, share: int) -> list[tuple[int, int]]:
 def _with_sets(rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """The rows with the shingle sets of their ids; only the wanted documents are shingled again."""
     ids = cut(rows.select("id").distinct())
-    wanted = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+    return rows.join(_sets(ids, ids.count(), docs, size), "id")
+
+
+def _sets(ids: DataFrame, count: int, docs: DataFrame, size: int) -> DataFrame:
+    """(id, shingles) of the documents with so many ids."""
+    wanted = docs.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, "id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part, "text", size)], pa.binary())], names=["id", "shingles"])
 
-    return rows.join(wanted.mapInArrow(sets, "id long, shingles binary"), "id")
+    return wanted.mapInArrow(sets, "id long, shingles binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
@@ -381,10 +470,15 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", si
     linkable = described.where("n > 0 and id is not null")
     nodes = cut(linkable.groupBy("one", "two", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
     alone = nodes.withColumn("component", F.col("id")).select("id", "component", "n", "keys", "marks")
-    links = verified(_nearest(_regions(alone, TREES_FIRST, PAIRS_FIRST, True), share), docs, size, share)
+    regions, left = _regions(alone, TREES_FIRST, PAIRS_FIRST)
+    links = verified(_nearest(_marked(regions.union(_blocks(left, PAIRS_FIRST, True)), alone), share), docs, size, share)
     stars = cut(_uphill(links))
     joined = nodes.join(stars, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "n", "keys", "marks")
-    narrowed = cut(_candidates(_regions(joined, TREES, PAIRS_SECOND, False), share))
+    regions, crowded = _regions(joined, TREES, PAIRS_SECOND, tuple(d for d in DEPTHS if d <= DEEPEST))
+    narrowed = _candidates(_marked(regions, joined), share)
+    if not crowded.isEmpty():
+        narrowed = narrowed.unionByName(_filtered(crowded, joined, docs, size, share))
+    narrowed = cut(narrowed)
     more = _links_within(_with_sets(narrowed, docs, size), share)
     components = connected(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
     known = nodes.select("one", "two", "n", "id").join(components, "id", "left").select("one", "two", "n", F.coalesce("component", "id").alias("component"))

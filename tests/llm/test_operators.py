@@ -112,6 +112,43 @@ def test_near_duplicates_in_a_hot_group(spark, monkeypatch):
     assert found == components(dict(rows))
 
 
+def test_near_duplicates_in_a_crowded_group(spark, monkeypatch):
+    """Many documents of one template, pairs around 0.6 to 0.8: regions too large are compared by their rarest shingles."""
+    monkeypatch.setattr(near, "PAIRS_FIRST", 2)
+    monkeypatch.setattr(near, "PAIRS_SECOND", 1)
+    monkeypatch.setattr(near, "CELL", 16)
+    rng = np.random.default_rng(23)
+    template = [f"t{k}" for k in range(200)]
+    texts = {}
+    for k in range(240):
+        own = template.copy()
+        for at in rng.choice(200, rng.integers(3, 8), replace=False):
+            own[at] = f"x{rng.integers(0, 10**9)}"
+        texts[k] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    crowds = []
+    filtered = near._filtered
+    monkeypatch.setattr(near, "_filtered", lambda crowded, *more: crowds.append(crowded.count()) or filtered(crowded, *more))
+    found = {r.id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs).collect()}
+    assert found == components(texts)
+    assert crowds and len({c for _, c in found.values()}) > 1
+
+
+def test_rarest_shingles_miss_no_pair(spark):
+    """Two sets of at least the share have one of their rarest shingles in common."""
+    rng = np.random.default_rng(29)
+    base = [f"b{k}" for k in range(120)]
+    texts = {k: " ".join(f"y{rng.integers(0, 10**9)}" if rng.random() < 0.02 else w for w in base[: rng.integers(90, 121)]) for k in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    rare = defaultdict(set)
+    for r in near._rarest(docs.select("id"), docs, 5, 75).collect():
+        rare[r.id].add(r.region)
+    sets = {k: shingles(t) for k, t in texts.items()}
+    linked = [(a, b) for a in sets for b in sets if a < b and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])]
+    assert len(linked) > 10 and all(rare[a] & rare[b] for a, b in linked)
+    assert all(len(rare[k]) < len(sets[k]) / 3 for k in sets)
+
+
 def test_connected(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(1, 40) if k % 10] + [(50, 3), (3, 50), (7, 7)], "a long, b long")
     found = {r.id: r.component for r in connected(links).collect()}
