@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from natalis.llm.alignment import op11_alignment
 from natalis.llm.curriculum import OP8_SQL, op8_curriculum
 from natalis.llm.language import op1_language_mixture
 from natalis.llm.licences import op9_licences
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_curriculum": op8_curriculum,
     "op9_licences": op9_licences,
     "op10_weak_labels": op10_weak_labels,
+    "op11_alignment": op11_alignment,
 }
 ORACLES = {
     "op3_repeated_windows": OP3_SQL,
