@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, cached_property
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from natalis.llm.base import shared_folder, table
+from natalis.llm.base import stored, table
 from natalis.llm.textarrays import slices
 
 FOLDER = "/opt/tokenizers"
@@ -292,10 +291,7 @@ def _asked(encoded: DataFrame) -> DataFrame:
 
 def link_counts(docs: DataFrame, id_: str = "doc_id", text: str = "text", folder: str = FOLDER, a: str = FILE_A, b: str = FILE_B) -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) for every row."""
-    spark = docs.sparkSession
-    where = f"{shared_folder(spark)}/alignment-{uuid.uuid4().hex}"
-    _encoded(docs, id_, text, f"{folder}/{a}", f"{folder}/{b}").write.option("compression", "zstd").parquet(where)
-    encoded = spark.read.parquet(where)
+    encoded = stored(_encoded(docs, id_, text, f"{folder}/{a}", f"{folder}/{b}"), "alignment")
     id_type = encoded.schema["id"].dataType.simpleString()
     b_size = tokenizers(f"{folder}/{a}", f"{folder}/{b}").b.get_piece_size()
     asked = _asked(encoded)

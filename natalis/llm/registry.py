@@ -9,6 +9,7 @@ from natalis.llm.licences import op9_licences
 from natalis.llm.near import op2_lsh_forest
 from natalis.llm.postings import OP5_SQL, op5_positional_index
 from natalis.llm.repeats import OP3_SQL, op3_repeated_windows
+from natalis.llm.rtree import OP13_SQL, op13_rtree
 from natalis.llm.suffixes import op6_suffix_columns
 from natalis.llm.urls import OP4_SQL, op4_url_list
 from natalis.llm.weaklabels import op10_weak_labels
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_licences": op9_licences,
     "op10_weak_labels": op10_weak_labels,
     "op11_alignment": op11_alignment,
+    "op13_rtree": op13_rtree,
 }
 ORACLES = {
     "op3_repeated_windows": OP3_SQL,
     "op4_url_list": OP4_SQL,
     "op5_positional_index": OP5_SQL,
     "op8_curriculum": OP8_SQL,
+    "op13_rtree": OP13_SQL,
 }
