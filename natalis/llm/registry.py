@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from natalis.llm.alignment import op11_alignment
 from natalis.llm.curriculum import OP8_SQL, op8_curriculum
+from natalis.llm.jaccard import op12_size_aware
 from natalis.llm.language import op1_language_mixture
 from natalis.llm.licences import op9_licences
 from natalis.llm.near import op2_lsh_forest
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_licences": op9_licences,
     "op10_weak_labels": op10_weak_labels,
     "op11_alignment": op11_alignment,
+    "op12_size_aware": op12_size_aware,
     "op13_rtree": op13_rtree,
 }
 ORACLES = {
