@@ -15,6 +15,7 @@ from natalis.functions.classify import (
 )
 from natalis.functions.days import ceil_day, date_of, day_of, floor_day, gestation_start_micros
 from natalis.operators.temporal import (
+    BROADCAST_ROWS,
     PERSON,
     broadcast_if_small,
     count_copies,
@@ -22,30 +23,34 @@ from natalis.operators.temporal import (
     first_number,
     whole_person,
 )
-from natalis.sources.cdm import DRUG, MEASUREMENT, NUMBER, OBSERVATION, OUT_OF_RANGE, Cdm
+from natalis.sources.cdm import DRUG, MEASUREMENT, NUMBER, OBSERVATION, OUT_OF_RANGE, Cdm, Ranges, covering, within
+from natalis.sources.tables import cut_lineage
 
 # Equal events aside, this order is total; a missing gestation comes first.
 EVENT_ORDER = ("day", "category", "gest_value")
 
 
-def drug_codes(cdm: Cdm, codes: DataFrame) -> DataFrame:
-    """Drug concepts below the listed drug codes, one row per way of reaching them."""
+def drug_codes(cdm: Cdm, codes: DataFrame, listed_ids: Ranges | None = None) -> DataFrame:
+    """Drug concepts below the listed drug codes, one row per way of reaching them.
+
+    ``listed_ids`` are ranges that hold all listed codes: nothing else of the hierarchy is read.
+    """
     listed = codes.filter(F.col("category").isin(*DRUG_CATEGORIES)).select(
         F.col("concept_id").alias("ancestor_concept_id"), "category", "gest_value"
     )
-    below = cdm.concept_ancestor.join(listed, "ancestor_concept_id").select(
+    below = within(cdm.concept_ancestor, "ancestor_concept_id", listed_ids).join(listed, "ancestor_concept_id").select(
         F.col("descendant_concept_id").alias("concept_id"), "category", "gest_value"
     )
     drugs = cdm.concept.filter(F.col("concept_class_id").isin(*DRUG_CLASSES)).select("concept_id")
     return below.join(drugs, "concept_id")
 
 
-def code_map(cdm: Cdm, codes: DataFrame) -> DataFrame:
+def code_map(cdm: Cdm, codes: DataFrame, listed_ids: Ranges | None = None) -> DataFrame:
     """Codes for clinical records and, marked ``for_drug``, for drug exposures."""
     clinical = codes.select(
         F.lit(False).alias("for_drug"), "concept_id", "category", "gest_value", "data_value"
     )
-    drug = drug_codes(cdm, codes).select(
+    drug = drug_codes(cdm, codes, listed_ids).select(
         F.lit(True).alias("for_drug"),
         "concept_id",
         "category",
@@ -57,11 +62,45 @@ def code_map(cdm: Cdm, codes: DataFrame) -> DataFrame:
     return both.withColumn("concept_id", F.coalesce("concept_id", F.lit(0)))
 
 
+def id_ranges(ids: DataFrame, group: str) -> dict[object, list[tuple[int, int]]]:
+    """For every value of ``group`` a few ranges that hold all its ``concept_id`` in a stored table.
+
+    Up to ``BROADCAST_ROWS`` ids are looked at one by one; of more, a group has the range from its least to its largest.
+    """
+    some = ids.select(group, "concept_id").distinct().limit(BROADCAST_ROWS + 1).collect()
+    if len(some) > BROADCAST_ROWS:
+        ends = ids.groupBy(group).agg(F.min("concept_id"), F.max("concept_id")).collect()
+        return {value: [(least, largest)] for value, least, largest in ends}
+    known = sorted({value for value, _ in some})
+    return {value: covering([i for v, i in some if v == value]) for value in known}
+
+
+def coded_records(cdm: Cdm, codes: DataFrame) -> DataFrame:
+    """Every record with its codes.
+
+    Only ranges of concepts that hold a listed code are asked of the tables, and of the hierarchy only
+    ranges that hold a listed drug code, so that readers skip what is stored elsewhere.
+    """
+    if not cdm.skips_by_concept:
+        return map_codes(cdm.all_records(), code_map(cdm, codes))
+    drugs = codes.filter(F.col("category").isin(*DRUG_CATEGORIES) & F.col("concept_id").isNotNull())
+    above = id_ranges(drugs.withColumn("for_drug", F.lit(True)), "for_drug")
+    mapping = cut_lineage(code_map(cdm, codes, above.get(True, [])))
+    listed = id_ranges(mapping, "for_drug")
+    records = cdm.all_records(listed.get(False, []), listed.get(True, []))
+    return _coded(records, broadcast_if_small(mapping, stored=True))
+
+
 def map_codes(records: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Records joined to their codes, of which there may be any number."""
+    return _coded(records, broadcast_if_small(mapping))
+
+
+def _coded(records: DataFrame, mapping: DataFrame) -> DataFrame:
     """Records joined to their codes; recorded values only narrow observations and measurements."""
     coded = records.withColumn("for_drug", F.col("type") == DRUG)
     valued = F.col("type").isin(OBSERVATION, MEASUREMENT)
-    return coded.join(broadcast_if_small(mapping), ["for_drug", "concept_id"]).filter(
+    return coded.join(mapping, ["for_drug", "concept_id"]).filter(
         ~valued | matches_value(F.col("data_value"), F.col("value_as_string"))
     )
 

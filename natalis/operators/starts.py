@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from natalis.functions.days import ceil_day, floor_day, gestation_start_micros, lookup
 from natalis.lookups import Lookups
-from natalis.operators.temporal import PERSON
+from natalis.operators.temporal import PERSON, broadcast_if_small
 from natalis.options import Options
 
 LATEST, EARLIEST, BY_EVIDENCE = "latest", "earliest", "by evidence"
@@ -82,17 +82,17 @@ def evidence(events: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     )
 
 
-def ovul2_windows(outcomes: DataFrame, lookups: Lookups, options: Options, numbered: DataFrame | None) -> DataFrame:
-    """Add ``ovul2_from``, the first start day the second ovulation rule allows.
+def ovul2_windows(outcomes: DataFrame, lookups: Lookups, options: Options) -> DataFrame:
+    """Add ``ovul2_from``, the first start day the second ovulation rule allows; ``outcomes`` is a stored table.
 
     As written, the rule takes the prior date of the outcome whose person id
-    equals its event id, ``numbered``. Person v is among those only with v events
-    or more, so N events give at most sqrt(2N) such rows: a bounded broadcast.
+    equals its event id. Person v is among those only with v events or more, so N events give at most
+    sqrt(2N) such rows; they are counted before they are broadcast.
     """
     if options.ovul2_join == "person":
         return outcomes.withColumn("ovul2_from", window_of(lookups, F.col("prior_day"))[0])
-    borrowed = numbered.select("event_id", F.col("prior_day").alias("_prior"), F.lit(True).alias("_hit"))
-    lent = outcomes.join(F.broadcast(borrowed), "event_id", "left")
+    numbered = self_numbered(outcomes).select("event_id", F.col("prior_day").alias("_prior"), F.lit(True).alias("_hit"))
+    lent = outcomes.join(broadcast_if_small(numbered, stored=True), "event_id", "left")
     first = window_of(lookups, F.col("_prior"))[0]
     return lent.withColumn("ovul2_from", F.when(F.col("_hit"), first)).drop("_prior", "_hit")
 

@@ -2,42 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natalis.functions.classify import OUTCOME_CONCEPTS
 from natalis.functions.days import lookup
+from natalis.lookups import values
+from natalis.sources.tables import cut_lineage
 
-
-def zone_cuts(keys: DataFrame, key: str, zones: int | None = None) -> list[int]:
-    """Sorted key values that cut ``keys`` into zones of about equal size, as many as the session has shuffle partitions."""
-    zones = zones or max(2, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / zones for i in range(1, zones)]
-    row = keys.select(F.percentile_approx(key, shares).alias("cuts")).first()
-    return sorted(set(row["cuts"] or []))
-
-
-def zone_of(key: Column, cuts: list[int]) -> Column:
-    """Number of cuts at or below ``key``."""
-    return F.size(F.filter(F.lit(cuts) if cuts else F.array().cast("array<bigint>"), lambda cut: cut <= key))
+# Bits that hold a row's place in its partition in the ids that Spark gives out; the partition stands above them.
+PLACE_BITS = 33
 
 
-def add_global_number(rows: DataFrame, name: str, key: str, *then: str) -> DataFrame:
-    """Number all rows from 1 in the order of ``key`` and ``then`` without one global sort.
+def add_global_number(rows: DataFrame, name: str, *order: str) -> DataFrame:
+    """Number all rows from 1 in ``order`` without one global sort.
 
-    Rows are numbered inside zones of the key, and each zone starts where the
-    ones before it end. The number does not depend on where the cuts lie.
+    The rows are dealt to ranges, sorted inside them and stored; a row's number is its place in its
+    range and the rows of the ranges before, of which there are as many as partitions.
     """
-    zoned = rows.withColumn("_zone", zone_of(F.col(key), zone_cuts(rows, key)))
-    sizes = zoned.groupBy("_zone").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_zone").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_zone", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_zone").orderBy(key, *then))
+    ranges = cut_lineage(rows.repartitionByRange(*order).sortWithinPartitions(*order))
+    placed = ranges.withColumn("_range", F.spark_partition_id())
+    sizes = placed.groupBy("_range").count().orderBy("_range").collect()
+    before = [(r["_range"], n) for r, n in zip(sizes, accumulate((r["count"] for r in sizes), initial=0), strict=False)]
+    offsets = values(rows.sparkSession, before or [(0, 0)], "_range int, _before bigint")
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << PLACE_BITS) - 1)
     return (
-        zoned.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), "_zone")
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_zone", "_inside", "_offset")
+        placed.withColumn("_inside", inside)
+        .join(F.broadcast(offsets), "_range")
+        .withColumn(name, F.col("_before") + F.col("_inside") + 1)
+        .drop("_range", "_inside", "_before")
     )
 
 

@@ -22,15 +22,15 @@ BROADCAST_ROWS = 500_000
 COPIES_PER_CHUNK = 10_000
 
 
-def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, stored: bool = False) -> DataFrame:
     """Ask for a broadcast once the table is known to be small.
 
-    The table is stored first, so that the check and all uses compute it once.
+    The table is stored first, unless it is already, so that the check and all uses compute it once.
     Beyond ``max_rows`` it comes back without a hint: the join then shuffles,
     and adaptive execution splits the skewed partitions.
     """
-    stored = cut_lineage(table)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    known = table if stored else cut_lineage(table)
+    return F.broadcast(known) if known.count() <= max_rows else known
 
 
 def count_copies(rows: DataFrame, *keys: str | Column) -> DataFrame:

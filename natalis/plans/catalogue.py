@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.functions.classify import TARGETS
+from natalis.functions.classify import DRUG_CATEGORIES, TARGETS
 from natalis.functions.days import date_of, lookup
 from natalis.lookups import Lookups
 from natalis.operators import events as ev
@@ -19,7 +20,8 @@ from natalis.options import Options
 from natalis.plans.pipeline import EpisodePlan
 from natalis.sources.cdm import Cdm
 from natalis.sources.fixtures import code_set, fixture_cdm, split_cdm
-from natalis.sources.tables import cut_lineage
+from natalis.sources.store import read_events, write_events, write_records
+from natalis.sources.tables import cut_lineage, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,8 +74,12 @@ def gestation_to_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drug_hierarchy_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drug concepts below the code sets, the ways to reach them and their exposures."""
-    plan = plan_of(spark, sf_dir)
-    expanded = ev.drug_codes(plan.cdm, plan.codes)
+    return _drug_ways(plan_of(spark, sf_dir))
+
+
+def _drug_ways(plan: EpisodePlan) -> DataFrame:
+    listed = ev.id_ranges(plan.codes.withColumn("for_drug", F.col("category").isin(*DRUG_CATEGORIES)).filter("for_drug"), "for_drug")
+    expanded = ev.drug_codes(plan.cdm, plan.codes, listed.get(True, []))
     ways = expanded.groupBy("concept_id", "category").agg(F.count(F.lit(1)).alias("ways"))
     given = plan.cdm.drug_exposure.groupBy(F.col("drug_concept_id").alias("concept_id")).agg(
         F.count(F.lit(1)).alias("exposures")
@@ -319,9 +325,45 @@ def episodes_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_of(spark, sf_dir).episodes
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_cdm(spark: SparkSession, sf_dir: str) -> Cdm:
+    """The clinical tables stored by concept and read back."""
+    folder = _folder(spark, "records")
+    write_records(split_cdm(spark, sf_dir), folder)
+    return Cdm.from_parquet(spark, folder)
+
+
 def episodes_final_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result table, from five clinical tables that are each read on their own."""
-    return EpisodePlan(split_cdm(spark, sf_dir), code_set(spark)).episodes
+    """The result table, from stored clinical tables of which only ranges of listed concepts are read."""
+    return EpisodePlan(stored_cdm(spark, sf_dir), code_set(spark)).episodes
+
+
+def coded_records_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All coded records, drug exposures too, from stored tables read by ranges of listed concepts."""
+    coded = ev.coded_records(stored_cdm(spark, sf_dir), code_set(spark))
+    return coded.select(PERSON, "type", "concept_id", "category", "start_date")
+
+
+def drug_hierarchy_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drug concepts below the code sets and their exposures, the hierarchy read from storage below listed ancestors only."""
+    return _drug_ways(EpisodePlan(stored_cdm(spark, sf_dir), code_set(spark)))
+
+
+def episodes_final_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result table, with records of persons without an outcome dropped before the first shuffle."""
+    return EpisodePlan(fixture_cdm(spark, sf_dir), code_set(spark), early_persons=True).episodes
+
+
+def episodes_final_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result table of a second run, which starts from counted events stored by person."""
+    first = plan_of(spark, sf_dir)
+    table = f"events_{uuid.uuid4().hex}"
+    write_events(first.counted, table, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return EpisodePlan(first.cdm, first.codes, stored_events=read_events(spark, table)).episodes
 
 
 def episodes_final_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,7 +461,11 @@ QUERIES: dict[str, Query] = {
     "episodes_corroborated": episodes_corroborated,
     "episodes_final": episodes_final,
     "episodes_final_split": episodes_final_split,
+    "episodes_final_early": episodes_final_early,
+    "episodes_final_events": episodes_final_events,
     "episodes_final_intended": episodes_final_intended,
+    "coded_records_stored": coded_records_stored,
+    "drug_hierarchy_stored": drug_hierarchy_stored,
     "full_outer_prior_terms": full_outer_prior_terms,
     "mother_table": mother_table,
     "length_histogram": length_histogram,

@@ -9,12 +9,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from natalis.functions.classify import TARGETS
 from natalis.lookups import Lookups
 from natalis.operators import episodes as ep
 from natalis.operators import events as ev
 from natalis.operators import outcomes as oc
 from natalis.operators import starts as st
-from natalis.operators.temporal import PERSON
+from natalis.operators.prefilter import of_persons
 from natalis.options import Options
 from natalis.sources.cdm import Cdm
 from natalis.sources.tables import cut_lineage
@@ -24,10 +25,17 @@ from natalis.sources.tables import cut_lineage
 class EpisodePlan:
     """Each stage of the run as a DataFrame.
 
-    Building one stores and counts the code map (to choose how it is joined) and nothing else.
+    Building one stores and counts the code map (to choose how it is joined). Stages from ``dated`` on read
+    two tables that building them stores in the checkpoint folder: ``kept``, the cleaned events of persons with
+    an outcome, and ``valid_outcomes``. Records are scanned and outcomes accepted once, however many branches read them.
 
-    ``store_events`` writes the counted events to the checkpoint folder, which
-    pays off when several stages are computed from one plan.
+    ``store_events`` also writes the counted events there, which
+    pays off when several earlier stages are computed from one plan. ``stored_events`` are counted events of an earlier
+    run (``natalis.sources.store``), which are then used in place of the records.
+
+    ``early_persons`` reads the records of outcomes first, which are few, and drops the records of all
+    persons without one by a Bloom filter before anything is shuffled; the exact test stays. It pays off where
+    most persons with a listed code have no outcome.
     """
 
     cdm: Cdm
@@ -35,10 +43,12 @@ class EpisodePlan:
     lookups: Lookups = field(default_factory=Lookups.fixed)
     options: Options = field(default_factory=Options)
     store_events: bool = False
+    stored_events: DataFrame | None = None
+    early_persons: bool = False
 
     @cached_property
     def _coded(self) -> DataFrame:
-        return ev.map_codes(self.cdm.all_records(), ev.code_map(self.cdm, self.codes))
+        return ev.coded_records(self.cdm, self.codes)
 
     def _stored(self, counted: DataFrame) -> DataFrame:
         return cut_lineage(counted) if self.store_events else counted
@@ -51,8 +61,18 @@ class EpisodePlan:
     @cached_property
     def counted(self) -> DataFrame:
         """Counted events with gestation in whole and half days, which bounds a person's rows."""
+        if self.stored_events is not None:
+            return self.stored_events
         return self._stored(ev.counted_events(self._coded, exact=False))
 
+    @cached_property
+    def promising(self) -> DataFrame:
+        """Counted events of at least the persons who have any outcome."""
+        if not self.early_persons or self.stored_events is not None:
+            return self.counted
+        targets = ev.coded_records(self.cdm, self.codes.filter(F.col("category").isin(*TARGETS)))
+        return self._stored(ev.counted_events(of_persons(self._coded, targets), exact=False))
+
     @cached_property
     def cleaned(self) -> DataFrame:
         return ev.clean_events(self.counted)
@@ -72,25 +92,23 @@ class EpisodePlan:
         return oc.accept_outcomes(self.telling, self.lookups, self.options)
 
     @cached_property
-    def self_numbered(self) -> DataFrame:
-        """Outcomes numbered like their person, looked for where a person has that many records.
+    def kept(self) -> DataFrame:
+        """The cleaned events of the persons who have any outcome to be accepted, stored."""
+        cleaned = ev.clean_events(self.promising)
+        return cut_lineage(cleaned.filter("has_target").drop("has_target"))
 
-        The closing shuffle is of a few rows: it keeps the work that finds them
-        out of the time allowed to the broadcast they go into.
-        """
-        many = F.col("has_target") & (F.col(PERSON) <= F.col("person_records"))
-        few = ev.number_events(self.cleaned.filter(many))
-        found = st.self_numbered(oc.accept_outcomes(few, self.lookups, self.options))
-        return found.repartition("event_id")
+    @cached_property
+    def valid_outcomes(self) -> DataFrame:
+        """The accepted outcomes, stored: all later branches read this table."""
+        return cut_lineage(oc.accept_outcomes(ev.number_events(self.kept), self.lookups, self.options))
 
     def dated_by(self, rules: Sequence[st.Rule]) -> DataFrame:
         """Outcomes with the start day that each of ``rules`` finds; other rules cost nothing."""
         if any(rule.name == "OVUL2" for rule in rules):
-            lent = None if self.options.ovul2_join == "person" else self.self_numbered
-            asked = st.ovul2_windows(self.outcomes, self.lookups, self.options, lent)
+            asked = st.ovul2_windows(self.valid_outcomes, self.lookups, self.options)
         else:
-            asked = self.outcomes.withColumn("ovul2_from", F.lit(None).cast("int"))
-        return st.dated_outcomes(asked, self.telling, self.lookups, rules)
+            asked = self.valid_outcomes.withColumn("ovul2_from", F.lit(None).cast("int"))
+        return st.dated_outcomes(asked, self.kept, self.lookups, rules)
 
     @cached_property
     def dated(self) -> DataFrame:

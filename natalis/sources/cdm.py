@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, fields
 from functools import reduce
+from operator import or_
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,11 @@ OUT_OF_RANGE = 10**10
 
 CONDITION, PROCEDURE, OBSERVATION, MEASUREMENT, DRUG = "Cond", "Proc", "Obs", "Meas", "Drug"
 
+# Closed ranges of ids.
+Ranges = Sequence[tuple[int, int]]
+# Ranges that a scan is asked for at most; beyond, the closest ones are read as one.
+MOST_RANGES = 8
+
 
 @dataclass(frozen=True)
 class Cdm:
@@ -30,6 +37,9 @@ class Cdm:
     observation_period: DataFrame
     person: DataFrame
 
+    #: Whether concepts are stored columns, by which a reader can skip.
+    skips_by_concept: ClassVar[bool] = True
+
     @classmethod
     def from_catalog(cls, spark: SparkSession, schema: str) -> Cdm:
         return cls._load(lambda name: spark.table(f"{schema}.{name}"))
@@ -42,15 +52,15 @@ class Cdm:
     def _load(cls, read: Callable[[str], DataFrame]) -> Cdm:
         return cls(**{field.name: read(field.name) for field in fields(Cdm)})
 
-    def conditions(self) -> DataFrame:
-        return records(self.condition_occurrence, "condition_concept_id", "condition_start_date", CONDITION)
+    def conditions(self, listed: Ranges | None = None) -> DataFrame:
+        return records(within(self.condition_occurrence, "condition_concept_id", listed), "condition_concept_id", "condition_start_date", CONDITION)
 
-    def procedures(self) -> DataFrame:
-        return records(self.procedure_occurrence, "procedure_concept_id", "procedure_date", PROCEDURE)
+    def procedures(self, listed: Ranges | None = None) -> DataFrame:
+        return records(within(self.procedure_occurrence, "procedure_concept_id", listed), "procedure_concept_id", "procedure_date", PROCEDURE)
 
-    def observations(self) -> DataFrame:
+    def observations(self, listed: Ranges | None = None) -> DataFrame:
         return records(
-            self.observation,
+            within(self.observation, "observation_concept_id", listed),
             "observation_concept_id",
             "observation_date",
             OBSERVATION,
@@ -58,9 +68,9 @@ class Cdm:
             "value_as_number",
         )
 
-    def measurements(self) -> DataFrame:
+    def measurements(self, listed: Ranges | None = None) -> DataFrame:
         return records(
-            self.measurement,
+            within(self.measurement, "measurement_concept_id", listed),
             "measurement_concept_id",
             "measurement_date",
             MEASUREMENT,
@@ -68,16 +78,36 @@ class Cdm:
             "value_as_number",
         )
 
-    def drugs(self) -> DataFrame:
-        return records(self.drug_exposure, "drug_concept_id", "drug_exposure_start_date", DRUG)
+    def drugs(self, listed: Ranges | None = None) -> DataFrame:
+        return records(within(self.drug_exposure, "drug_concept_id", listed), "drug_concept_id", "drug_exposure_start_date", DRUG)
+
+    def clinical_records(self, listed: Ranges | None = None) -> DataFrame:
+        """Every record but drug exposures, in one shape; of concepts in ``listed`` ranges only, where they are given."""
+        return _stack(self.conditions(listed), self.procedures(listed), self.observations(listed), self.measurements(listed))
+
+    def all_records(self, listed: Ranges | None = None, listed_drugs: Ranges | None = None) -> DataFrame:
+        """Every record, drug exposures included; of concepts in the given ranges only."""
+        return _stack(self.clinical_records(listed), self.drugs(listed_drugs))
 
-    def clinical_records(self) -> DataFrame:
-        """Every record but drug exposures, in one shape."""
-        return _stack(self.conditions(), self.procedures(), self.observations(), self.measurements())
 
-    def all_records(self) -> DataFrame:
-        """Every record, drug exposures included."""
-        return _stack(self.clinical_records(), self.drugs())
+def covering(ids: Sequence[int], most: int = MOST_RANGES) -> list[tuple[int, int]]:
+    """At most so many closed ranges that hold all ids, parted at the widest gaps."""
+    ids = sorted(set(ids))
+    widest = sorted(range(1, len(ids)), key=lambda k: ids[k - 1] - ids[k])[: most - 1]
+    edges = [0, *sorted(k for k in widest if ids[k] - ids[k - 1] > 1), len(ids)]
+    return [(ids[a], ids[b - 1]) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+
+
+def within(table: DataFrame, column: str, ranges: Ranges | None) -> DataFrame:
+    """The rows whose id lies in one of the ranges, as a filter on the stored column that the reader can skip by.
+
+    Files, row groups and pages without such an id are then not read, where ids are stored close together.
+    """
+    if ranges is None or table.schema[column].dataType.simpleString() not in ("int", "bigint", "smallint"):
+        return table
+    id_ = F.col(column)
+    tests = [id_ == a if a == b else (id_ >= a) & (id_ <= b) for a, b in ranges]
+    return table.filter(reduce(or_, tests) if tests else F.lit(False))
 
 
 def records(

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from natalis.lookups import CODE_SCHEMA, values
-from natalis.sources.cdm import CONDITION, DRUG, MEASUREMENT, NUMBER, OBSERVATION, PROCEDURE, Cdm
+from natalis.sources.cdm import CONDITION, DRUG, MEASUREMENT, NUMBER, OBSERVATION, PROCEDURE, Cdm, Ranges
 
 # Categories of concepts 0 to 31, in order.
 CONCEPT_CATEGORIES = (
@@ -42,15 +43,18 @@ CUSTOMER = "c_custkey bigint"
 class FactsCdm(Cdm):
     """Clinical tables that are all cut from one table of facts.
 
-    Reading every record is then one scan of the facts rather than one per table.
+    Reading every record is then one scan of the facts rather than one per table. Their concepts are computed,
+    so that no scan can skip by them: ranges of ids are not asked for.
     """
 
     facts: DataFrame
 
-    def clinical_records(self) -> DataFrame:
+    skips_by_concept: ClassVar[bool] = False
+
+    def clinical_records(self, listed: Ranges | None = None) -> DataFrame:
         return self._all().filter(F.col("type") != DRUG)
 
-    def all_records(self) -> DataFrame:
+    def all_records(self, listed: Ranges | None = None, listed_drugs: Ranges | None = None) -> DataFrame:
         return self._all()
 
     def _all(self) -> DataFrame:

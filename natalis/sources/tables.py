@@ -60,13 +60,11 @@ def write_csv(summary: DataFrame, path: str) -> None:
     summary.write.mode("overwrite").option("header", True).csv(path)
 
 
-def cut_lineage(table: DataFrame) -> DataFrame:
-    """Store ``table`` in the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    without one uses a temporary folder; on a cluster it must be set.
+    Only a local session without one uses a temporary folder; on a cluster it must be set.
     """
-    spark = table.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -75,4 +73,10 @@ def cut_lineage(table: DataFrame) -> DataFrame:
         if folder is None:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(table: DataFrame) -> DataFrame:
+    """Store ``table`` in the shared checkpoint folder and go on from there."""
+    shared_folder(table.sparkSession)
     return table.checkpoint()

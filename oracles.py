@@ -432,6 +432,14 @@ def oracles() -> dict[str, str]:
             "FROM facts WHERE dom >= 8 GROUP BY ALL) "
             "USING (concept_id)",
         ),
+        "coded_records_stored": _query(
+            EVENTS,
+            "SELECT person_id, CASE WHEN dom < 4 THEN 'Cond' WHEN dom < 6 THEN 'Proc' WHEN dom = 6 THEN 'Obs' ELSE 'Meas' END AS type, "
+            "f.concept_id, category, d AS start_date FROM facts f JOIN pregnancy_concepts c ON c.concept_id = f.concept_id "
+            "WHERE dom < 8 AND (dom < 6 OR c.data_value IN ('N/A', flag)) "
+            "UNION ALL SELECT person_id, 'Drug', dc.concept_id, category, d FROM facts f "
+            "JOIN drug_concepts dc ON dc.concept_id = 1000 + f.l_partkey % 40 WHERE dom >= 8",
+        ),
         "drug_events": _query(
             EVENTS,
             "SELECT person_id, category, start_date AS event_date, count(*) AS n FROM drugs GROUP BY ALL",
@@ -509,6 +517,8 @@ WHERE abs((t.event_date - a.event_date) + 1) < CASE WHEN a.event_date <= t.event
         "episodes_corroborated": _query(starts, f"{listed} corroborated"),
         "episodes_final": _query(starts, "SELECT * FROM final"),
         "episodes_final_split": _query(starts, "SELECT * FROM final"),
+        "episodes_final_early": _query(starts, "SELECT * FROM final"),
+        "episodes_final_events": _query(starts, "SELECT * FROM final"),
         "episodes_final_intended": _query(intended + _starts(own_prior=True), "SELECT * FROM final"),
         "full_outer_prior_terms": _query(
             written + OUTCOME_ROWS,
@@ -559,6 +569,7 @@ FROM final""",
         "contra": "CONTRA",
     }
     rule_row = "SELECT person_id, event_id, episode_start_date, rule AS start_category FROM found WHERE rule = '{}'"
+    sql["drug_hierarchy_stored"] = sql["drug_hierarchy_expand"]
     for short, name in rule_queries.items():
         sql[f"start_{short}"] = _query(starts, rule_row.format(name))
     sql["start_ovul2_person"] = _query(

@@ -66,14 +66,26 @@ def test_each_clinical_table_is_scanned_once(spark, tmp_path):
     for threshold in ("10m", "-1"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         try:
-            table = EpisodePlan(Cdm.from_parquet(spark, str(tmp_path)), code_set(spark)).episodes
+            plan = EpisodePlan(Cdm.from_parquet(spark, str(tmp_path)), code_set(spark))
+            cleaned, table = plan.cleaned, plan.episodes
             assert table.count() == 438
-            table.collect()
-            final = plan_text(table).split("== Initial Plan ==")[0]
+            cleaned.collect()
+            final = plan_text(cleaned).split("== Initial Plan ==")[0]
+            after = plan_text(table)
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("condition", "procedure", "observation", "measurement", "drug"):
             assert len(re.findall(rf"FileScan parquet \[[^\]]*{name}_concept_id#", final)) == 1, name
+            assert f"{name}_concept_id#" not in after, name
+
+
+def test_final_episodes_read_stored_outcomes(spark):
+    """What follows the outcomes neither codes records nor accepts outcomes again, and mother rows are numbered without a window."""
+    table = QUERIES["episodes_final"](spark, SF)
+    text = plan_text(table)
+    assert len(re.findall(r"\bWindow \[", text)) <= 9 and "lineitem" not in text
+    numbered = plan_text(QUERIES["mother_table"](spark, SF))
+    assert "Window" not in numbered and "lambda" not in numbered
 
 
 def episodes_of(spark, shuffle_input=False):
@@ -99,7 +111,7 @@ def test_result_does_not_depend_on_partitions_or_row_order(spark):
 
 def test_large_code_map_is_joined_by_shuffle(spark, monkeypatch):
     expected = episodes_of(spark)
-    monkeypatch.setattr(ev, "broadcast_if_small", lambda table: table)
+    monkeypatch.setattr(ev, "broadcast_if_small", lambda table, **_: table)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
