@@ -25,6 +25,7 @@ from natalis.operators.temporal import (
     prior_of,
     total_within,
     whole_person,
+    with_islands,
 )
 from natalis.options import Options
 
@@ -161,7 +162,7 @@ def gap_days(accepted_day: Column, candidate_day: Column) -> Column:
     return F.abs(candidate_day - accepted_day + 1)
 
 
-def too_close(lookups: Lookups, options: Options):
+def too_close(lookups: Lookups):
     """Conflict test of an accepted outcome and a candidate."""
     # A pair that the table lacks in either direction has no limit.
     known = lookups.min_days
@@ -175,10 +176,7 @@ def too_close(lookups: Lookups, options: Options):
     def test(accepted: Column, candidate: Column) -> Column:
         gap = gap_days(accepted["end_day"], candidate["end_day"])
         earlier = accepted["end_day"] <= candidate["end_day"]
-        close = gap < F.when(earlier, limit(accepted, candidate)).otherwise(limit(candidate, accepted))
-        if options.lb_gap == "as_written":
-            return close | ((accepted["step"] == 1) & (candidate["step"] == 1))
-        return close
+        return gap < F.when(earlier, limit(accepted, candidate)).otherwise(limit(candidate, accepted))
 
     return test
 
@@ -192,7 +190,9 @@ def accept_outcomes(
     """Accepted outcomes with the outcome before: one row each.
 
     Targets are accepted in their fixed order, each candidate being checked
-    against all outcomes accepted so far.
+    against all outcomes accepted so far. As no limit reaches over a longer gap than the longest one, the candidates between two
+    such gaps are an island that is walked by itself. As written, a person's first live birth is the only one, however
+    far others are: it is found before the walk.
     """
     step = lookup("category", {target: i for i, target in enumerate(TARGETS, 1)})
     queue = (
@@ -200,12 +200,19 @@ def accept_outcomes(
         .filter(admissible(options) & _is(*targets))
         .withColumn("step", step)
     )
+    if options.lb_gap == "as_written":
+        birth = F.struct("day", "event_id")
+        first = F.min(F.when(_is("LB"), birth)).over(whole_person())
+        queue = queue.withColumn("_first", first).filter(~_is("LB") | (birth == F.col("_first"))).drop("_first")
+    islands = with_islands(queue, "end_day", max(lookups.min_days.values(), default=0))
     carried = [field for field in OUTCOME_FIELDS if field != "event_id"]
-    accepted = greedy_accept(queue, ("step", "day", "event_id"), carried, too_close(lookups, options))
+    accepted = greedy_accept(islands, ("step", "day", "event_id"), carried, too_close(lookups), ("island",))
+    # what is accepted stands as far apart as the limits ask for: a person's array is short
+    outcomes = accepted.groupBy(PERSON).agg(F.flatten(F.collect_list("accepted")).alias("accepted"))
     by_day = F.sort_array(
         F.transform("accepted", lambda c: F.struct(c["end_day"].alias("end_day"), c.alias("outcome")))
     )
-    rows = accepted.select(PERSON, by_day.alias("_by_day"))
+    rows = outcomes.select(PERSON, by_day.alias("_by_day"))
     prior = F.transform(
         "_by_day",
         lambda row, i: F.struct(

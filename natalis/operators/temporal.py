@@ -88,25 +88,37 @@ def prior_of(sorted_rows: Column, field: str) -> Callable[[Column, Column], Colu
     return lambda row, i: F.get(sorted_rows, i - 1)[field]
 
 
+def with_islands(rows: DataFrame, day: str, reach: int) -> DataFrame:
+    """Add ``island``, the number of the person's run of rows that are no more than ``reach`` days apart from one to the next."""
+    line = Window.partitionBy(PERSON).orderBy(day)
+    begins = (F.col(day) - F.lag(day).over(line) > reach).cast("int")
+    return rows.withColumn("_begins", begins).withColumn("island", F.coalesce(F.sum("_begins").over(up_to(day)), F.lit(0))).drop("_begins")
+
+
 def greedy_accept(
     candidates: DataFrame,
     order: Iterable[str],
     carried: Iterable[str],
     conflict: Callable[[Column, Column], Column],
+    apart: Iterable[str] = (),
 ) -> DataFrame:
     """Per person, walk the candidates in order and keep those without conflict.
 
     ``conflict(accepted, candidate)`` tells whether a candidate clashes with one
-    accepted before. Returns a row per person with the array ``accepted``.
+    accepted before. Returns a row per person, and per value of the columns ``apart`` between which nothing clashes,
+    with the array ``accepted``.
     Callers pass one candidate per person, category and day, which bounds a
     person's array by the calendar whatever the number of records.
     """
+    keys = (PERSON, *apart)
     queue = F.sort_array(F.collect_list(F.struct(*order, *carried)))
-    per_person = candidates.groupBy(PERSON).agg(queue.alias("_queue"))
+    # dealt out anew by all keys: the parts of one person are walked by many tasks
+    dealt = candidates.repartition(*keys) if apart else candidates
+    per_person = dealt.groupBy(*keys).agg(queue.alias("_queue"))
 
     def step(kept: Column, candidate: Column) -> Column:
         clash = F.exists(kept, lambda earlier: conflict(earlier, candidate))
         return F.when(clash, kept).otherwise(F.concat(kept, F.array(candidate)))
 
     none = F.filter("_queue", lambda c: F.lit(False))
-    return per_person.select(PERSON, F.aggregate("_queue", none, step).alias("accepted"))
+    return per_person.select(*keys, F.aggregate("_queue", none, step).alias("accepted"))

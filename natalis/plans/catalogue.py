@@ -207,7 +207,7 @@ def spacing_conflicts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = plan.outcomes.groupBy(PERSON).agg(
         F.collect_list(F.struct("event_id", "end_day", step.alias("step"))).alias("accepted")
     )
-    close, own = oc.too_close(plan.lookups, plan.options), F.struct("event_id", "end_day", "step")
+    close, own = oc.too_close(plan.lookups), F.struct("event_id", "end_day", "step")
     clash = F.exists("accepted", lambda other: (other["event_id"] != F.col("event_id")) & close(other, own))
     return candidates.join(accepted, PERSON).filter(clash).select(
         PERSON, "event_id", "category", date_of("end_day").alias("event_date")

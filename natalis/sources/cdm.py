@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, fields
 from functools import reduce
 from operator import or_
-from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ class Cdm:
     person: DataFrame
 
     #: Whether concepts are stored columns, by which a reader can skip.
-    skips_by_concept: ClassVar[bool] = True
+    skips_by_concept = True
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, schema: str) -> Cdm:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
-from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +48,7 @@ class FactsCdm(Cdm):
 
     facts: DataFrame
 
-    skips_by_concept: ClassVar[bool] = False
+    skips_by_concept = False
 
     def clinical_records(self, listed: Ranges | None = None) -> DataFrame:
         return self._all().filter(F.col("type") != DRUG)

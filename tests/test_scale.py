@@ -6,8 +6,9 @@ from dataclasses import fields
 import pytest
 from pyspark.sql import functions as F
 
-from natalis import Cdm, EpisodePlan
+from natalis import Cdm, EpisodePlan, Options
 from natalis.operators import events as ev
+from natalis.operators import outcomes as oc
 from natalis.operators.temporal import COPIES_PER_CHUNK, expand_copies
 from natalis.plans.catalogue import QUERIES
 from natalis.sources.fixtures import code_set, fixture_cdm
@@ -125,3 +126,21 @@ def test_accepted_outcomes_never_clash(spark, name):
     final = QUERIES[name](spark, SF)
     assert final.filter("episode_length < 1 OR episode_start_date > episode_end_date").count() == 0
     assert final.groupBy("person_id", "episode_end_date").count().filter("count > 1").count() == 0
+
+
+def test_outcomes_of_one_person_are_walked_in_parts(spark, monkeypatch):
+    """A person whose outcomes lie in runs apart: every run is walked by itself, and the first birth counts for all."""
+    rows = [(1, c, 2000 * run + d) for run in range(30) for c, d in (("LB", 0), ("SB", 40), ("AB", 300), ("SA", 310), ("LB", 700), ("ECT", 900), ("MTX", 901))]
+    rows += [(p, "LB", 400 * p) for p in range(2, 9)]
+    walked = []
+    whole = oc.greedy_accept
+    monkeypatch.setattr(oc, "greedy_accept", lambda *a: walked.append(whole(*a)) or walked[-1])
+    for options in (Options(), Options.intended()):
+        plan = EpisodePlan(cdm(spark, rows), codes(spark), options=options)
+        played = {p: Person([(c, d, None) for q, c, d in rows if q == p], lb_gap=options.lb_gap, sb_veto=options.sb_veto) for p in range(1, 9)}
+        found = plan.outcomes.select("person_id", "event_id", "category", "end_day", "records").collect()
+        assert {tuple(r) for r in found} == {(p, i, c, d, x.records(i)) for p, x in played.items() for i, c, d in x.outcomes()}
+        assert plan.valid_outcomes.count() == len(found)
+        parts = walked[-1].filter("person_id = 1")
+        assert parts.count() == 30 and max(len(r.accepted) for r in parts.collect()) <= 7
+        assert parts.select(F.spark_partition_id()).distinct().count() > 1
