@@ -209,7 +209,8 @@ _LIMITS = (
 
 def _accept(forward: bool, veto: str, targets: tuple[str, ...] = TARGETS) -> str:
     order = " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(TARGETS))
-    same_births = "" if forward else "OR (a.category = 'LB' AND q.category = 'LB')"
+    # as written, a birth is taken out by the days from it back to the one accepted, which come with their sign
+    same_births = "" if forward else f"OR (a.category = 'LB' AND q.category = 'LB' AND (a.event_date - q.event_date) + 1 < {_LIMITS}['LB>LB'])"
     return MOVED + f""",
 queue AS MATERIALIZED (
   SELECT *, row_number() OVER (
@@ -256,6 +257,14 @@ prior AS MATERIALIZED (
 )"""
 
 
+# Where a weak start moves, by the order of first care, end of contraception and the start itself: care against the start, contraception
+# against the start, care against contraception (-1 before, 0 the same day, 1 after, 9 unknown). In all other orders it stays.
+_MOVES = """
+(-1, 9, 9, 'care'), (9, 1, 9, 'pill'),
+(-1, -1, 1, 'care'), (-1, -1, -1, 'pill'), (-1, 0, -1, 'pill'), (-1, 1, -1, 'pill'),
+(1, 1, -1, 'pill'), (1, 1, 0, 'pill'), (1, 1, 1, 'pill')
+"""
+
 # Rule, rank, evidence and the days from a start to its evidence.
 _RULES = (
     ("LMP", 1, ("LMP",), 0),
@@ -347,13 +356,12 @@ hints AS (
 ),
 refined AS MATERIALIZED (
   SELECT b.person_id, b.event_id,
-         CASE WHEN care IS NULL THEN greatest(b.episode_start_date, pill)
-              WHEN pill IS NULL THEN least(b.episode_start_date, care)
-              WHEN care < b.episode_start_date AND care <> pill THEN greatest(care, pill)
-              WHEN care > b.episode_start_date THEN greatest(b.episode_start_date, pill)
-              ELSE b.episode_start_date END AS episode_start_date,
+         CASE moved WHEN 'care' THEN care WHEN 'pill' THEN pill ELSE b.episode_start_date END AS episode_start_date,
          b.start_category || ':REFINED' AS start_category, b.date_rank - 1 AS date_rank
-  FROM best b LEFT JOIN hints h ON h.person_id = b.person_id AND h.event_id = b.event_id
+  FROM (SELECT b.*, care, pill, coalesce(sign(care - b.episode_start_date), 9) AS care_side,
+               coalesce(sign(pill - b.episode_start_date), 9) AS pill_side, coalesce(sign(care - pill), 9) AS apart
+        FROM best b LEFT JOIN hints h ON h.person_id = b.person_id AND h.event_id = b.event_id) b
+  LEFT JOIN (VALUES {_MOVES}) AS m(care_side, pill_side, apart, moved) USING (care_side, pill_side, apart)
   WHERE b.date_rank > 7
 ),
 episodes AS MATERIALIZED (
