@@ -6,7 +6,8 @@ Whole documents can't be inserted a column at a time across a cluster: the longe
 rounds as it has bytes. So every document is first cut, by content, into overlapping segments of at most
 ``2 * size - gram`` bytes: each string of ``size`` bytes belongs to the segment of its anchor, the rightmost of
 its smallest gram hashes. Equal strings have equal anchors, so segments with equal anchors meet in a
-bucket, wherever they come from. Anchors that a merged count-min sketch shows to occur once are left out first.
+bucket, wherever they come from. Two equal strings also agree in half of what a string has besides its anchor, before the
+anchor or behind it: segments of which a merged count-min sketch shows neither half with the anchor to occur twice are left out first.
 
 In a bucket the distinct segments are the collection. Each round inserts one more symbol of every segment, from
 its end, and updates the collection's Burrows-Wheeler transform and the suffixes in order: the
@@ -52,8 +53,8 @@ def _windows_min(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of all texts: text number, first string start, end of the last string, and the hash of the anchor.
+def anchors(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of all texts: text number, first string start, end of the last string, the anchor's start and its hash.
 
     Starts and ends are bytes of data. The strings of a segment start at consecutive bytes.
     """
@@ -81,14 +82,26 @@ def anchors(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> tupl
             first[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1]) | (starts[1:] != starts[:-1] + 1)
             edges = np.flatnonzero(first)
             lasts = np.append(edges[1:], len(starts)) - 1
-            found.append((text[edges], starts[edges], starts[lasts] + size, mixed(hashes[place[edges]]) if len(edges) else np.zeros(0, np.uint64)))
+            found.append((text[edges], starts[edges], starts[lasts] + size, begin + place[edges], mixed(hashes[place[edges]]) if len(edges) else np.zeros(0, np.uint64)))
         at = to
     if not found:
         none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+        return none, none, none, none, np.zeros(0, np.uint64)
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def halves(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spots: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every segment's anchor with the bytes before it, and of that with those behind it, and their segments' numbers.
+
+    So many bytes of either side are taken that every string around the anchor has one of both; a segment
+    may lack a side, and then none of its strings has it.
+    """
+    half = (size - gram + 1) // 2
+    before, behind = np.flatnonzero(spots - half >= starts), np.flatnonzero(spots + gram + half <= ends)
+    hashes = [span_hashes(data, spots[before] - half, spots[before] + gram), span_hashes(data, spots[behind], spots[behind] + gram + half)]
+    return np.concatenate(hashes), np.concatenate([before, behind])
+
+
 def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The bytes of all spans, one after another."""
     ends = np.cumsum(sizes)
@@ -202,7 +215,7 @@ def _codec() -> pa.Codec:
 def remove_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """(id, n_bytes, kept, spans) for every row: what stays, as binary, and the removed runs [start, end) in bytes."""
     total = text_bytes(docs, text)
-    layout = Layout(total, total // BYTES_PER_ANCHOR)
+    layout = Layout(total, 2 * (total // BYTES_PER_ANCHOR))
     buckets = layout.chunks * BUCKETS_PER_CHUNK
     base = by_chunk(docs, id_, text, layout.chunks)
 
@@ -211,12 +224,16 @@ def remove_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", siz
         return data, offsets, *anchors(data, offsets, size, gram)
 
     def sketch_chunk(group: pa.Table) -> pa.Table:
-        return send(group.column("chunk")[0].as_py(), cut_up(group)[-1], layout)
+        data, _, _, starts, ends, spots, _ = cut_up(group)
+        return send(group.column("chunk")[0].as_py(), halves(data, starts, ends, spots, size, gram)[0], layout)
 
     def segments(group: pa.Table, reply: pa.Table) -> tuple[np.ndarray, ...]:
-        """The segments with repeated anchors: data, offsets, texts, starts, sizes, owners, bucket; their content number and one span for each."""
-        data, offsets, text_no, starts, ends, hashes = cut_up(group)
-        keep = estimated(hashes, layout, {s: b for s, b, k in zip(reply.column("shard").to_pylist(), reply.column("bits").to_pylist(), reply.column("kind").to_pylist(), strict=True) if k == 1})
+        """The segments with a repeated half: data, offsets, texts, starts, sizes, owners, bucket; their content number and one span for each."""
+        data, offsets, text_no, starts, ends, spots, hashes = cut_up(group)
+        sides, of = halves(data, starts, ends, spots, size, gram)
+        again = estimated(sides, layout, {s: b for s, b, k in zip(reply.column("shard").to_pylist(), reply.column("bits").to_pylist(), reply.column("kind").to_pylist(), strict=True) if k == 1})
+        keep = np.zeros(len(starts), bool)
+        keep[of[again]] = True
         text_no, starts, sizes, hashes = text_no[keep], starts[keep], (ends - starts)[keep], hashes[keep]
         owners = group.column("id").combine_chunks().cast(pa.int64()).fill_null(_LAST).to_numpy(zero_copy_only=False)[text_no]
         number, chosen = distinct(data, starts, sizes, owners)
