@@ -1,8 +1,8 @@
 """URL lists: a blocked Bloom filter in front of an exact hash join.
 
 A listed entry is a host and a path; it fits its host and all subdomains where the URL's path starts with
-the entry's. A page asks for every (host suffix, path prefix) that could be listed: suffixes begin at a
-label, prefixes have a length that occurs in the list. The filter has blocks of 512 bits, a key sets one
+the entry's. A page asks for every (host suffix, path prefix) that could be listed: suffixes have as many labels
+as some entry's host, prefixes a length that occurs in the list, so that a long host costs no more than its bytes. The filter has blocks of 512 bits, a key sets one
 bit in each of the eight 64-bit words of its block; the bits are set by a distributed OR. Keys that pass
 are joined with the list itself, which removes all false positives, and the longest entry wins.
 
@@ -62,8 +62,10 @@ def judge(pages: DataFrame, listed: DataFrame, id_: str = "page_id", url: str =
     lengths = sorted(r[0] for r in entries.select(F.length("path")).distinct().collect())  # path lengths, not paths
     host, path = canonical(F.col(url))
     pages = pages.select(F.col(id_).alias("id"), host.alias("host"), path.alias("path"))
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    depths = sorted(r[0] for r in entries.select(F.size(F.split("host", r"\.", -1))).distinct().collect())  # numbers of labels, not hosts
+    # the last k labels are what follows the k-th dot from the end; a host of fewer dots is one suffix, the whole, for its own number of labels
+    dots = F.length("host") - F.length(F.replace(F.col("host"), F.lit(".")))
+    suffixes = F.transform(F.filter(F.array(*[F.lit(k) for k in depths]).cast("array<int>"), lambda k: k <= dots + 1), lambda k: F.call_function("substring_index", F.col("host"), F.lit("."), -k))
     prefixes = F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substr(F.col("path"), F.lit(1), n))
     asked = pages.select("id", "host", "path", F.explode(suffixes).alias("h")).where("h <> ''")
     asked = asked.select("id", "host", "path", "h", F.explode(prefixes).alias("p"))
