@@ -2,27 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from natalis.sources.tables import shared_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only a local session without ``spark.checkpoint.dir`` (as in tests) gets one of its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return context.getCheckpointDir()
-
-
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read from there, without what led to them."""
     shared_folder(df.sparkSession)
