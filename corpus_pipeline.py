@@ -38,7 +38,10 @@ def once(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language mixture explains them; those without a letter or of no learned language go."""
+    """Keeps documents whose language mixture explains them; those without a letter or of no learned language go.
+
+    A null or empty text has no letter and goes; rows are judged one by one, whatever their ids; of an empty table nothing is kept.
+    """
     model = learn(docs)
     return identify(docs, model).where("known").select(*docs.columns)
 
@@ -67,12 +70,23 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that benchmark windows contaminate."""
-    return without(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    """Drops documents that benchmark windows contaminate.
+
+    Rows are told apart by id and text, so that of rows of equal id only the contaminated ones go, and rows without an id are
+    judged like others; a null or empty text has no words and stays.
+    """
+    found = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    found = cut(found.select("id", "text_hash").distinct())
+    gone = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.id")) & (F.xxhash64("d.text") == F.col("g.text_hash"))
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training order: documents as often as the curriculum takes them, sorted by position."""
+    """The training order: documents as often as the curriculum takes them, sorted by position.
+
+    A row that stands twice counts once; null and empty texts have no words and are never taken; a null source is a source of its own.
+    """
     return ordered(once(docs), plan(docs, repeating(5, 2, 1)))
 
 
