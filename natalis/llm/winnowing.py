@@ -28,8 +28,8 @@ from natalis.llm.textarrays import PIECE, mixed, powers, slices
 
 GRAM, WINDOW = 12, 29
 BASE = np.uint64(0xD6E8FEB86659FD93)
-#: Texts between two cuts of the order; about so many rows share a task's memory.
-ROWS = 2000
+#: Texts and bytes of text between two cuts of the order, about: what shares a task's memory.
+ROWS, STRETCH_BYTES = 2000, 16 << 20
 SLICE = 1 << 20
 
 
@@ -115,13 +115,13 @@ def _stretch(id_: Column, cuts: list[int]) -> Column:
 def with_next(docs: DataFrame, digest, fields: str, id_: str = "doc_id", text: str = "text", rows: int = ROWS) -> DataFrame:
     """``digest(id, text, next text)`` for every row, the next being the one of the next smaller id, the largest after the smallest.
 
-    Ids are cut into stretches of about ``rows`` rows at quantiles. Each stretch also gets a copy of the last
+    Ids are cut into stretches of about ``rows`` rows, or fewer where texts are long, at quantiles. Each stretch also gets a copy of the last
     row below it (the lowest: of the largest id), so that the texts are shuffled once and no task
     holds more than a stretch. The copied ids, one a stretch, are broadcast.
     """
     docs = docs.select(F.col(id_).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    count = docs.agg(F.count("id")).first()[0]
-    pieces = max(1, -(-count // rows))
+    count, total = docs.agg(F.count("id"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    pieces = max(1, -(-count // rows), min(count, -(-total // STRETCH_BYTES)))
     cuts = docs.agg(F.percentile_approx("id", [k / pieces for k in range(1, pieces)], 100 * pieces)).first()[0] if pieces > 1 else []
     cuts = sorted(set(cuts or []))
     placed = docs.withColumn("stretch", _stretch(F.col("id"), cuts))
@@ -142,12 +142,12 @@ def with_next(docs: DataFrame, digest, fields: str, id_: str = "doc_id", text: s
 
 
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and their likeness."""
+    """Fingerprints of every text, with the positions of its hashes, and of its edited text, and their likeness."""
 
     def digest(id_: int, text: str, following: str) -> dict:
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
-        own, changed, after = winnow(text)[0], winnow(edited)[0], winnow(following)[0]
+        (own, places), changed, after = winnow(text), winnow(edited)[0], winnow(following)[0]
         return {
             "doc_id": id_,
             "n_chars": len(text),
@@ -156,7 +156,8 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
             "edited_fingerprint": joined(changed),
             "near_edited": likeness(own, changed),
             "near_next": likeness(own, after),
+            "positions": places.tolist(),
         }
 
-    fields = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    fields = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<long>"
     return with_next(table(spark, sf_dir, "documents"), digest, fields)

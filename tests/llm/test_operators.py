@@ -207,6 +207,19 @@ def test_byte_strings(spark, awkward, nothing):
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
+def test_byte_strings_around_a_frequent_line(spark):
+    """One header line before and within varying text, half of the strings around it shared on one side only."""
+    rng = np.random.default_rng(41)
+    header, tails = "== a line that stands in every one of these texts ==", ["".join(rng.choice(list("abcdefgh"), 40)) for _ in range(6)]
+    texts = {}
+    for k in range(150):
+        own = lambda n: "".join(rng.choice(list("ijklmnop"), n))
+        texts[k] = own(rng.integers(0, 30)) + tails[rng.integers(6)][: rng.integers(0, 40)] + header[rng.integers(0, 20) :] + tails[rng.integers(6)][: rng.integers(0, 40)] + own(rng.integers(0, 30))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    found = {r.id: (r.n_bytes, bytes(r.kept), len(r.spans)) for r in suffixes.remove_repeats(docs).collect()}
+    assert found == without_strings(texts, 50)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(0)
     for _ in range(50):
@@ -232,6 +245,49 @@ def test_winnowing_keeps_the_rightmost_least_hash():
         assert hashes.tolist() == [every[k] for k in want]
 
 
+def by_hand(text):
+    """The selected (hash, position) of a text, window by window with plain integers."""
+    points = [ord(c) for c in text]
+    size = min(winnowing.GRAM, len(points))
+    every = []
+    for k in range(len(points) - size + 1 if points else 0):
+        value = sum((p + 1) * pow(int(winnowing.BASE), j, 2**64) for j, p in enumerate(points[k : k + size])) % 2**64
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            value = (value ^ value >> shift) * factor % 2**64
+        every.append((value ^ value >> 31) >> 32)
+    window = min(winnowing.WINDOW, len(every))
+    return sorted({max(range(k, k + window), key=lambda j: (-every[j], j)) for k in range(len(every) - window + 1)}) if every else [], every
+
+
+def test_fingerprints_by_hand(spark, tmp_path, monkeypatch):
+    """Hashes, positions and likeness of the query against a version by hand; a passage in common is always found."""
+    monkeypatch.setattr(winnowing, "STRETCH_BYTES", 900)
+    rng = np.random.default_rng(17)
+    say = lambda n: "".join(rng.choice(list("abc déf"), n))
+    passage = say(winnowing.GRAM + winnowing.WINDOW - 1)
+    texts = ["", "ab", say(11), say(40), say(300), say(120) + passage, passage + say(90), say(77) + passage + say(31), None, say(300)]
+    rows = [(3 * k, t) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id // 3: r for r in winnowing.op7_winnowing(spark, str(tmp_path)).collect()}
+    assert len(found) == len(texts)
+    sets = []
+    for k, text in enumerate(texts):
+        places, every = by_hand(text or "")
+        assert found[k].positions == places
+        assert found[k].fingerprint == "".join(f"{every[p]:08x}" for p in places)
+        sets.append({every[p] for p in places})
+    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for k, text in enumerate(texts):
+        text, after = text or "", texts[k - 1] or ""
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        places, every = by_hand(edited)
+        assert found[k].near_next == like(sets[k], sets[k - 1])
+        assert found[k].near_edited == like(sets[k], {every[p] for p in places})
+    for a in (5, 6, 7):
+        for b in (5, 6, 7):
+            assert sets[a] & sets[b]
+
+
 def test_edited_texts(spark, awkward, nothing, monkeypatch):
     monkeypatch.setattr(winnowing, "table", lambda *_: awkward)
     monkeypatch.setattr(winnowing.with_next, "__defaults__", ("doc_id", "text", 4))
@@ -291,6 +347,46 @@ def test_quality(spark, awkward, nothing):
     assert weaklabels.score(empty, *weaklabels.train(empty)).count() == 0
 
 
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    """Rows without ids, repeated ids and equal texts: as many different texts as asked for, and no more."""
+    rows = [(None if k % 2 else k % 7, f"words of text number {k % 3000} " * (1 + k % 3)) for k in range(6000)] + [(1, None), (None, ""), (None, " \n")]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    chosen = weaklabels._sample(docs, 6000, 100).collect()
+    assert len(chosen) == 100 == len({r.text for r in chosen})
+    assert weaklabels._sample(docs, 6000, 10**6).count() == len({t for _, t in rows if (t or "").strip()})
+    sizes = []
+    fit = weaklabels.fit
+    monkeypatch.setattr(weaklabels, "fit", lambda found, labels: sizes.append(len(found)) or fit(found, labels))
+    model = weaklabels.train(docs, 100)
+    assert sizes == [100]
+    found = weaklabels.score(docs.select(F.col("text").alias("id"), "text"), *model).distinct().collect()
+    assert len(found) == len({t for _, t in rows}) and {r.score for r in found if not (r.id or "").strip()} == {0.0}
+
+
+def test_label_model_by_enumeration():
+    """Posteriors against the model played with one row at a time and plain probabilities."""
+    rng = np.random.default_rng(13)
+    n = len(weaklabels.LABELLERS)
+    truth = rng.random(400) < 0.6
+    votes = [[0 if rng.random() < 0.3 else (2 if (t if rng.random() < 0.85 else not t) else 1) for _ in range(n)] for t in truth]
+    numbers = [int("".join(map(str, v)), 3) for v in votes]
+    patterns, counts = np.unique(numbers, return_counts=True)
+    found = dict(zip(patterns.tolist(), weaklabels.posteriors(patterns, counts.astype(float)).tolist(), strict=True))
+    p = [(v.count(2) + 1) / (v.count(2) + v.count(1) + 2) for v in votes]
+    for _ in range(200):
+        prior = (sum(p) + 1) / (len(p) + 2)
+        seen = [[{c: (0.5 if c != (2 if good else 1) else 1.0) + sum(q if good else 1 - q for q, v in zip(p, votes, strict=True) if v[k] == c) for c in (0, 1, 2)} for k in range(n)] for good in (False, True)]
+        new = []
+        for v in votes:
+            like = [np.prod([seen[g][k][v[k]] / sum(seen[g][k].values()) for k in range(n)]) * (prior if g else 1 - prior) for g in (0, 1)]
+            new.append(like[1] / (like[0] + like[1]))
+        if max(abs(a - b) for a, b in zip(p, new, strict=True)) < 1e-10:
+            break
+        p = new
+    assert [found[k] for k in numbers] == pytest.approx(p, abs=1e-6)
+    assert np.mean([(found[k] > 0.5) == t for k, t in zip(numbers, truth, strict=True)]) > 0.95
+
+
 def test_distinct_words_of_the_whole_text():
     """What follows the first 200 words counts as much as they do."""
     varied, same = np.arange(200, dtype=np.uint64), np.zeros(3800, np.uint64)
@@ -316,6 +412,55 @@ def test_licences(spark, awkward, nothing):
     assert 10**6 + 2 not in found
 
 
+def subsequence(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        now = [0]
+        for k, y in enumerate(b):
+            now.append(row[k] + 1 if x == y else max(row[k + 1], now[k]))
+        row = now
+    return row[-1]
+
+
+def test_licences_need_the_order_of_words(spark, awkward, nothing):
+    """Statements against a scan by hand; sentences with a template's words in another order or far apart state nothing."""
+    cases = {
+        "All seats are reserved and the rights of way stay open.": [],
+        "The GNU herd lives under the general public bridge; a license to fish, version 3 of this work, is licensed": [],
+        "License MIT the under released": [],
+        "Licensed under " + "one two three four five six seven eight " * 4 + "the MIT License": [],
+        "Released under MIT License.": ["mit"],
+        "// SPDX-License-Identifier: MIT": ["mit"],
+        "SPDX-License-Identifier: Apache-2.0": ["apache-2.0"],
+        "Licensed under the MIT License or the Apache License, Version 2.0.": ["apache-2.0", "mit"],
+        "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.": ["cc-by-nc", "mit"],
+    }
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(cases)] + [(None, "Released under the MIT License."), (10**6, None)], "doc_id long, text string"))
+    classifier = licences.train(licences.paragraphs(docs, "doc_id", "text"))
+    found = defaultdict(set)
+    for r in licences.scan(docs, classifier=classifier).collect():
+        if r.confirmed:
+            found[r.id].add(r.family)
+    for k, (text, families) in enumerate(cases.items()):
+        assert sorted(found[10**6 + k]) == families, text
+    assert found[None] == {"mit"}
+    # every confirmed line of one line has its template in order, and no line that has one whole is missed
+    words = lambda t: [w for w in (x.rstrip(".-+") for x in re.split(r"[^\w.+-]+", t.lower())) if w]
+    known = [(f, words(t)) for f, texts in licences.TEMPLATES.items() for t in texts]
+    for i, text in texts_of(table(spark, SF, "documents")).items():
+        for line in (text or "").split("\n"):
+            own = words(line)
+            for family, template in known:
+                whole = any(own[k : k + len(template)] == template for k in range(len(own)))
+                assert not whole or family in found[i], (i, line)
+        near = {f for f, t in known if subsequence(t, words(text or "")) >= 0.8 * len(t)}
+        assert found[i] <= near
+    assert licences.scan(nothing).count() == 0
+    assert licences.scan(nothing, classifier=classifier).count() == 0
+    assert {r.id for r in licences.scan(awkward, classifier=classifier).collect() if r.confirmed} == set()
+
+
 def test_licences_wrapped_over_lines(spark):
     """Statements whose lines are each below a template, alone, behind comment marks and inside longer paragraphs."""
     mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -380,6 +525,24 @@ def test_contamination(spark, awkward, nothing):
     assert none.count() == 0
 
 
+def test_contamination_of_rows_without_ids_and_of_equal_ids(spark):
+    one, two = "alpha beta gamma delta", "epsilon zeta eta theta"
+    rows = [(None, f"x {one} y"), (None, "nothing here"), (5, one), (5, two), (5, one), (6, f"alpha z beta z gamma z delta {two[:12]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("own", F.lit(1)).withColumn("at", F.lit(2))
+    bench = spark.createDataFrame([(1, one), (2, two), (None, two), (2, "unseen words")], "item_id long, text string")
+    found = sorted(((r.id or 0, r.n_words, r.n_hit, tuple(sorted(i or 0 for i in r["items"])), r.n_near, r.contaminated) for r in postings.contamination(docs, bench).collect()))
+    assert found == [(0, 2, 0, (), 0, False), (0, 6, 4, (1,), 1, True), (5, 4, 4, (0, 2), 2, True), (5, 4, 4, (1,), 1, True), (5, 4, 4, (1,), 1, True), (6, 9, 0, (), 1, False)]
+
+
+def test_proximity_survives_changed_words(spark):
+    """An item quoted with a word that no training text has is near, though no phrase."""
+    docs = spark.createDataFrame([(1, "q the old grey mill stood by a river w".split()), (2, "the mill river".split())], "id long, words array<string>")
+    items = spark.createDataFrame([(7, "the old grey mill stands by a river".split()), (8, "the unseen thing".split()), (9, ["mill"])], "item long, words array<string>")
+    found = {(r.id, r.item) for r in postings.proximity_matches(docs, items, within=12).collect()}
+    assert found == {(1, 7), (1, 9), (2, 9)}  # of item 8 one word is known only
+    assert {(r.id, r.item) for r in postings.phrase_matches(docs, items).collect()} == {(1, 9), (2, 9)}
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, ["rare", "x", "x", "odd"]), (2, ["odd", *["x"] * 9, "rare"]), (3, ["rare"])], "id long, words array<string>")
     items = spark.createDataFrame([(7, ["odd", "rare"])], "item long, words array<string>")
@@ -397,6 +560,10 @@ def test_url_lists(spark):
         (4, "example.net", "/en/1", "example.net/en/", "allow"), (5, "net", "", "", "allow"), (6, "notexample.com", "/de/", "", "allow"),
         (7, "x.example.com", "/de/", "example.com/de/", "block"), (8, "fr.org", "/fr/", "org/fr/", "allow"), (9, "org", "/fr", "", "allow"),
     ])
+    # a host of 100,000 labels costs no more than its bytes; dots at the ends are labels too
+    odd = ["a." * 100_000 + "net", "b." * 100_000, ".net", "net.", "..example.net", "x.y"]
+    long = spark.createDataFrame([(k, f"s://{h}/en/") for k, h in enumerate(odd)], "page_id long, url string")
+    assert {r.id: r.rule for r in urls.judge(long, rules).collect()} == {0: "net/", 1: None, 2: "net/", 3: None, 4: "example.net/en/", 5: None}
     assert urls.judge(docs.limit(0), rules).count() == 0
     assert {r.verdict for r in urls.judge(docs, rules.limit(0)).collect()} == {"allow"}
 
@@ -499,3 +666,20 @@ def test_repeated_rows_in_the_pipeline(spark):
     planned = curriculum.plan(docs, curriculum.repeating(5, 2, 1))
     turns = sorted((-1 if r.id is None else r.id, p) for r in planned.collect() for p in r.positions)
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.position) for r in corpus_pipeline.mixing(spark, docs, "").collect()) == turns
+
+
+def test_decontamination_stage_tells_rows_apart(spark, tmp_path):
+    """Of rows of one id only those with benchmark words go, rows without an id like others; columns of any name stay."""
+    items = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(7, items[0][1], 1), (7, "clean words", 2), (None, f"so {items[0][1]}", 3), (None, "", 4), (None, None, 5), (8, "alpha beta", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_hash long").withColumn("words", F.lit("w")).repartition(2)
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert sorted(r.text_hash for r in left.collect()) == [2, 4, 5, 6]
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    for name in ("documents", "benchmark"):
+        table(spark, SF, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
