@@ -46,6 +46,17 @@ def repeating(*weights: float) -> Callable[[Column], Column]:
     return schedule
 
 
+def turning(*weights: float) -> Callable[[Column], Column]:
+    """Schedules whose mean weights repeat with the rank of the source: by turns they rise from half of it to half as much again, and fall."""
+
+    def schedule(rank: Column) -> Column:
+        weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
+        first = F.when(rank % 2 == 0, weight * 0.5).otherwise(weight * 1.5)
+        return F.array(*[F.struct(F.lit(t).alias("t"), w.alias("w")) for t, w in ((0.0, first), (1.0, 2 * weight - first))])
+
+    return schedule
+
+
 def listed(schedules: dict[str | None, Knots], other: Knots, source: str = "source") -> Callable[[Column], Column]:
     """Schedules given by source name."""
 
@@ -152,9 +163,13 @@ def ordered(docs: DataFrame, planned: DataFrame, id_: str = "doc_id", text: str
 
 
 def op8_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed with weights 5, 2, 1 over the sources in order, to 3 times a source's words at most."""
-    planned = plan(table(spark, sf_dir, "documents"), repeating(5, 2, 1))
-    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position"))
+    """All documents mixed with weights 5, 2, 1 over the sources in order, to 3 times a source's words at most, sorted by position.
+
+    The weights are the means over the training time: sources by turns come more and more often, or less and less.
+    """
+    planned = plan(table(spark, sf_dir, "documents"), turning(5, 2, 1))
+    rows = planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position"))
+    return rows.orderBy(F.col("position").asc_nulls_last(), F.xxhash64("doc_id"))
 
 
 OP8_SQL = r"""
@@ -164,25 +179,28 @@ WITH sized AS (
   FROM documents),
 ranked AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-         [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3]::DOUBLE AS weight
+         [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3]::DOUBLE AS weight,
+         (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 2 = 0 AS rises
   FROM sized GROUP BY source),
 levels AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
             / sum(weight) OVER (ORDER BY 3 * source_size / weight, encode(source) NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM ranked),
 aims AS (
-  SELECT source, source_size, weight, least(3.0 * source_size,
+  SELECT source, source_size, weight, weight * if(rises, 0.5, 1.5)::DOUBLE AS w0, least(3.0 * source_size,
          coalesce((SELECT max(level) FROM levels WHERE level <= 3 * source_size / weight) * weight, 3.0 * source_size))::DOUBLE AS target
   FROM levels),
 lined AS (
-  SELECT d.doc_id, d.size, a.source_size, a.target, a.weight,
+  SELECT d.doc_id, d.size, a.source_size, a.target, a.weight, a.w0,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM sized d JOIN aims a ON d.source IS NOT DISTINCT FROM a.source),
 turned AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS whole FROM lined),
 final AS (
-  SELECT *, greatest(0, least(size, CAST(round(target) AS BIGINT) - whole * source_size - before)) AS cut FROM turned)
+  SELECT *, greatest(0, least(size, CAST(round(target) AS BIGINT) - whole * source_size - before)) AS cut,
+         CASE WHEN target > 0 THEN (before::DOUBLE * weight) / target END AS area, (2 * weight - w0) - w0 AS rise FROM turned)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(whole * size + cut AS BIGINT) AS taken,
-       CASE WHEN whole * size + cut > 0 THEN least(1.0, (before * weight) / target / weight) END AS position
+       CASE WHEN whole * size + cut > 0 THEN
+         CASE WHEN area >= weight THEN 1.0 ELSE least(1.0, (2 * area) / (w0 + sqrt(greatest(0.0, w0 * w0 + (2 * rise) * area)))) END END AS position
 FROM final
 """
