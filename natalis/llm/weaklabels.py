@@ -4,10 +4,10 @@ Seven heuristic labellers look at each text and vote good, bad or not at all. Ex
 over the counts of vote patterns (at most 3 to the 7, counted over all rows) estimates how often each labeller votes
 what for good and for bad texts, and with it the probability that a text of each pattern is good. These
 posterior labels train a logistic scorer on hashed words and runs of three character classes; it is fitted
-on a bounded sample (``SAMPLE`` rows of the smallest hash ranges) and scores every row.
+on a bounded sample (``SAMPLE`` different texts, those with the smallest hashes) and scores every row.
 
 Defined results: a null text, an empty one or one without words gets score 0 and is not kept; rows are judged
-one by one, so equal texts have equal scores; an empty table gives no rows; only id and text are read.
+one by one, so equal texts have equal scores, whatever their ids, null and repeated ones included; an empty table gives no rows; only id and text are read.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from natalis.llm.base import table
 from natalis.llm.textarrays import LOWER, flat, slices, span_hashes, words
 
-#: Rows that the scorer is fitted on, about.
+#: Different texts that the scorer is fitted on, at most.
 SAMPLE = 8000
 WORD_BITS, CLASSES = 13, 8
 FEATURES = (1 << WORD_BITS) + CLASSES**3
@@ -172,6 +172,18 @@ def label_patterns(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(vote, f"id {docs.schema['id'].dataType.simpleString()}, pattern int")
 
 
+def _sample(docs: DataFrame, rows: float, most: int) -> DataFrame:
+    """(id, text) of the ``most`` different texts with the smallest hashes, one row of each.
+
+    A first cut by hash, three times as wide as needed if all texts differ, keeps the others from being sorted; where
+    many rows are equal, it may leave fewer.
+    """
+    hash_ = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    part = int(min(1.0, 3 * most / rows) * (1 << 30))
+    near = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("text", hash_.alias("h")).where(f"h < {part}")
+    return near.groupBy("h", "text").agg(F.count("*")).orderBy("h", "text").limit(most).select(F.lit(0).cast("long").alias("id"), "text")
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, dict[int, float]]:
     """The scorer, and the posterior of every vote pattern; docs are (id, text)."""
     counts = label_patterns(docs).where("pattern is not null").groupBy("pattern").count().orderBy("pattern").collect()
@@ -179,8 +191,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, dict[int, floa
     if not len(patterns):
         return Scorer(np.zeros(FEATURES), 0.0), {}
     known = dict(zip(patterns.tolist(), posteriors(patterns, n).tolist(), strict=True))
-    part = int(min(1.0, sample / n.sum()) * (1 << 30))
-    chosen = docs.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < part)
+    chosen = _sample(docs, n.sum(), sample)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
