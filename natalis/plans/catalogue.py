@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from natalis.functions.classify import DRUG_CATEGORIES, TARGETS
 from natalis.functions.days import date_of, lookup
-from natalis.lookups import Lookups
 from natalis.operators import events as ev
 from natalis.operators import outcomes as oc
 from natalis.operators import starts as st
