@@ -9,8 +9,8 @@ without any verification, and a key's members are linked with one representative
 
 Heavy sets are looked up in inverted lists. A list holds the sets that have a shingle among their rarest ones: so
 many as a linked set may lack, and one more; every linked pair meets in a list. Three steps keep a large group of
-near copies from being compared pair by pair. First every set is compared with some of those that share its very rarest
-shingles and joined with the nearest. Then lists are scanned only between sets of different components. A list that
+near copies from being compared pair by pair. First a few lists of every set are cut into blocks at random, and each block gives
+a tree of its closest candidates. Then lists are scanned only between sets of different components. A list that
 still has too many such pairs is split by a second shingle (linked sets share two of their rarest ones and one more), and what
 remains crowded there is compared in blocks, all against all. Every candidate pair passes two filters that lose
 none, by size and by the differing bits of a parity sketch, and is verified on its full sets.
@@ -33,7 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from natalis.llm.base import connected, cut, stored, table
@@ -44,13 +44,13 @@ WORDS, SHARE = 5, 80
 #: Sets above this size have too many subsets to be light at any cost of the lists.
 MOST_LIGHT = 16
 #: Cells in which shingles are counted to tell rare ones; the order is one for all sets, however full the cells.
-CELL_BITS = 20
+CELL_BITS = 18
 #: Bits of a parity sketch.
 SKETCH = 1024
-#: Rarest shingles by which sets are joined first.
-FIRST_RANKS = 4
+#: Lists by which a set is joined first: so many of its rarest shingles with a list, and so many of its commonest.
+FIRST_LISTS = 2
 #: Members of a list that are compared together in the first step; members of a block of a long list.
-TOGETHER, BLOCK = 256, 1024
+TOGETHER, BLOCK = 512, 1024
 #: Pairs of different components for each member up to which a list is scanned as it is.
 PAIRS = 256
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -213,24 +213,49 @@ def _sketches(group: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(group.num_rows, -1)
 
 
-def _nearest(rows: DataFrame, share: int, boundary: int) -> DataFrame:
-    """(a, b): every member's candidate of smaller id with the fewest differing bits."""
+def forest(i: np.ndarray, j: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
+    """The numbers of the edges (i, j) between n nodes that make a shortest forest of what they connect.
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Every tree takes its shortest edge to another tree at once, until there is none.
+    """
+    label, edge, kept = np.arange(n), np.arange(len(i)), []
+    while len(edge):
+        a, b = label[i[edge]], label[j[edge]]
+        edge = edge[a != b]
+        a, b = a[a != b], b[a != b]
+        if not len(edge):
+            break
+        ends, both = np.concatenate([a, b]), np.concatenate([edge, edge])
+        order = np.lexsort((both, length[both], ends))
+        taken = np.unique(both[order[np.append(True, ends[order][1:] != ends[order][:-1])]])
+        kept.append(taken)
+        up = np.arange(n)
+        for x, y in zip(label[i[taken]].tolist(), label[j[taken]].tolist(), strict=True):
+            while up[x] != x:
+                x = up[x]
+            while up[y] != y:
+                y = up[y]
+            up[max(x, y)] = min(x, y)
+        while (up[up] != up).any():
+            up = up[up]
+        label = up[label]
+    return np.concatenate(kept) if kept else np.zeros(0, np.int64)
+
+
+def _trees(rows: DataFrame, share: int, boundary: int) -> DataFrame:
+    """(a, b): a forest of every region's candidates, those with the fewest differing bits first."""
+
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "region"):
             region, ids, n = (group.column(k).to_numpy() for k in ("region", "id", "n"))
             found = list(_pairs(region, n, _sketches(group), share, boundary))
-            if not found:
-                continue
-            i, j, differ = (np.concatenate(x) for x in zip(*found, strict=True))
-            a, b = np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])
-            order = np.lexsort((b, differ, a))
-            first = order[np.append(True, a[order][1:] != a[order][:-1])]
-            first = first[a[first] != b[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(differ[first])], names=["a", "b", "differ"])
+            if found:
+                i, j, differ = (np.concatenate(x) for x in zip(*found, strict=True))
+                kept = forest(i, j, differ, len(ids))
+                a, b = ids[i[kept]], ids[j[kept]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    found = _sorted_map(rows, "region", best, "a long, b long, differ long")
-    return found.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b")).select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return _sorted_map(rows, "region", trees, "a long, b long").where("a < b").distinct()
 
 
 def _across(rows: DataFrame, share: int, boundary: int) -> DataFrame:
@@ -246,17 +271,42 @@ def _across(rows: DataFrame, share: int, boundary: int) -> DataFrame:
 
 
 def _with_sketches(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    return rows.distinct().join(nodes.select("id", "n", "sketch"), "id").select("region", *(c for c in rows.columns if c != "region"), "n", "sketch")
+    return rows.join(nodes.select("id", "n", "sketch"), "id").select("region", *(c for c in rows.columns if c != "region"), "n", "sketch")
+
+
+def _shared(postings: DataFrame, share: int, boundary: int) -> DataFrame:
+    """The postings of which another one of the same shingle has a size that allows a link with a heavy set.
 
+    In a list sorted by size a row's neighbours are the closest to it, so no list is held as a whole.
+    """
 
-def _first_lists(postings: DataFrame, boundary: int) -> DataFrame:
-    """(region, id): members of lists of the very rarest shingles, long lists in blocks that each have the list's first member."""
-    rows = postings.where(f"rank < {FIRST_RANKS}")
-    lists = rows.groupBy("shingle").agg(F.count("*").alias("m"), F.min("id").alias("first"), F.max("id").alias("last"), F.max("n").alias("most"))
-    lists = lists.where(f"first < last and most > {boundary}").withColumn("blocks", F.ceil(F.col("m") / TOGETHER))
-    named = rows.select("shingle", "id").join(lists.select("shingle", "blocks"), "shingle").select("shingle", "id", F.pmod(F.xxhash64("id"), "blocks").alias("block"))
-    leaders = lists.where("blocks > 1").select("shingle", F.col("first").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    return named.union(leaders).select(F.xxhash64("shingle", "block").alias("region"), "id")
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, with_last = None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table_ = pa.Table.from_batches([batch] if held is None else [held, batch])
+            shingles, n = table_.column("shingle").to_numpy(), table_.column("n").to_numpy()
+            again = np.append(False, (shingles[1:] == shingles[:-1]) & (100 * n[:-1] >= share * n[1:]) & (n[1:] > boundary))
+            again[0] = with_last
+            keep = again | np.append(again[1:], False)
+            held, with_last = table_.slice(table_.num_rows - 1).to_batches()[0], bool(again[-1])
+            keep[-1] = False  # told when the next row is known
+            yield from table_.filter(pa.array(keep)).to_batches()
+        if held is not None and with_last:
+            yield held
+
+    fields = "id long, n long, rank long, shingle long"
+    return _sorted_map(postings.select("id", "n", "rank", "shingle"), "shingle", rows, fields, "n")
+
+
+def _first_lists(lists: DataFrame) -> DataFrame:
+    """(region, id): members of a few lists of every set, each list in blocks by chance."""
+    own = Window.partitionBy("id")
+    some = lists.withColumn("k", F.row_number().over(own.orderBy("rank"))).withColumn("m", F.count("*").over(own))
+    some = some.where(f"k <= {FIRST_LISTS} or k > m - {FIRST_LISTS}").select("shingle", "id")
+    blocks = some.groupBy("shingle").agg(F.ceil(F.count("*") / TOGETHER).alias("blocks"), F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    return some.join(blocks.select("shingle", "blocks"), "shingle").select(F.xxhash64("shingle", F.pmod(F.xxhash64("id", "shingle"), "blocks")).alias("region"), "id")
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -294,17 +344,22 @@ def _by_two(crowded: DataFrame, postings: DataFrame, components: DataFrame) -> D
 
 
 def _with_components(rows: DataFrame, components: DataFrame) -> DataFrame:
-    known = rows.join(components.withColumnRenamed("component", "_c"), "id", "left")
+    linked = components.withColumnRenamed("component", "_c")
+    known = rows.join(F.broadcast(linked) if components.count() <= BROADCAST_IDS else linked, "id", "left")
     return known.select(*rows.columns, F.coalesce("_c", "id").alias("component"))
 
 
-def _candidates(postings: DataFrame, components: DataFrame, share: int) -> DataFrame:
-    """(region, id, component): regions in which every linked pair of different components with a heavy set meets."""
-    lists = postings.where(f"rank < n + 1 + floor(-{share} * n / 100)").select(F.col("shingle").alias("region"), "id", "n")
+def _candidates(lists: DataFrame, components: DataFrame, all_postings) -> DataFrame:
+    """(region, id, component): regions in which every linked pair of different components with a heavy set meets.
+
+    ``all_postings`` gives the postings of some ids, those of shingles without a list and the one more included.
+    """
+    lists = lists.select(F.col("shingle").alias("region"), "id", "n")
     measured = _measured(_with_components(lists, components))
     out = [_dealt(measured)]
     crowded = measured.where("not fits")
     if not crowded.isEmpty():
+        postings = all_postings(cut(crowded.select("id").distinct()))
         deeper = _measured(_by_two(crowded, postings, components))
         out += [_dealt(deeper), _all_against_all(deeper)]
     return reduce(DataFrame.union, out)
@@ -324,16 +379,18 @@ def joined(docs: DataFrame, id_: str = "doc_id", text: str = "text", size: int =
     linkable = described.where("n > 0 and id is not null")
     nodes = stored(linkable.groupBy("one", "two", "n").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")), "nodes")
     own = _of(docs, cut(nodes.select("id").distinct()), nodes.count())
-    postings = stored(_postings(own, size, share, _cell_counts(own, size)), "postings")
-    by_size = postings.where(f"n <= {MOST_LIGHT}").groupBy("n").agg(F.sum("weight").alias("w"), F.sum((F.col("rank") == 0).cast("int")).alias("sets")).collect()
+    counts = _cell_counts(own, size)
+    small = cut(nodes.where(f"n <= {MOST_LIGHT}").select("id").distinct())
+    few = _of(docs, small, small.count())
+    by_size = _postings(few, size, share, counts).groupBy("n").agg(F.sum("weight").alias("w"), F.sum((F.col("rank") == 0).cast("int")).alias("sets")).where(f"n <= {MOST_LIGHT}").collect()
     boundary = boundary_of_least_cost({r["n"]: r["sets"] for r in by_size}, {r["n"]: r["w"] for r in by_size}, share)
-    light = nodes.where(f"n <= {boundary}").select("id").distinct()
-    links = light_links(_of(docs, cut(light), light.count()), boundary, size, share) if boundary else None
-    lists = postings.where(f"100 * n >= {share * (boundary + 1)}")
-    heavy = verified(_nearest(_with_sketches(_first_lists(lists, boundary), nodes), share, boundary), docs, size, share)
+    links = light_links(few, boundary, size, share) if boundary else None
+    postings = _postings(own, size, share, counts).where(f"100 * n >= {share * (boundary + 1)} and rank < n + 1 + floor(-{share} * n / 100)")
+    lists = stored(_shared(postings, share, boundary), "lists")
+    heavy = verified(_trees(_with_sketches(_first_lists(lists), nodes), share, boundary), docs, size, share)
     links = heavy.union(_of_one_id(linkable, nodes)).union(links) if links is not None else heavy.union(_of_one_id(linkable, nodes))
     components = cut(connected(links))
-    regions = _candidates(lists, components, share)
+    regions = _candidates(lists, components, lambda ids: _postings(_of(docs, ids, ids.count()), size, share, counts))
     more = verified(_across(_with_sketches(regions, nodes), share, boundary), docs, size, share)
     components = connected(components.select(F.col("component").alias("a"), F.col("id").alias("b")).union(more))
     known = nodes.select("one", "two", "n", "id").join(components, "id", "left").groupBy("one", "two", "n").agg(F.min(F.coalesce("component", "id")).alias("component"))
@@ -345,3 +402,29 @@ def joined(docs: DataFrame, id_: str = "doc_id", text: str = "text", size: int =
 def op12_size_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of at least 80 percent."""
     return joined(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def components_sql(share: int, more: str = "") -> str:
+    """SQL for the components of ``documents`` under links of so many percent; equal ids are one document."""
+    return rf"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS s FROM dw WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= {share} * (a.n + b.n - c)),
+ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT x, y FROM ways UNION SELECT r.x, w.y FROM reached r JOIN ways w ON w.x = r.y),
+least_of AS (SELECT x, min(y) AS y FROM reached GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id{more}
+FROM (SELECT doc_id FROM documents) LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON x = doc_id
+"""
+
+
+OP12_SQL = components_sql(SHARE)
+#: The SQL of the other operator that links by shingles, which also says what is kept.
+OP2_SQL = components_sql(75, ", doc_id = least(doc_id, coalesce(y, doc_id)) AS kept")
