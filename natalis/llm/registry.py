@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from natalis.llm.alignment import op11_alignment
 from natalis.llm.curriculum import OP8_SQL, op8_curriculum
-from natalis.llm.jaccard import op12_size_aware
+from natalis.llm.jaccard import OP2_SQL, OP12_SQL, op12_size_aware
 from natalis.llm.language import op1_language_mixture
 from natalis.llm.licences import op9_licences
 from natalis.llm.near import op2_lsh_forest
@@ -32,9 +32,11 @@ QUERIES = {
     "op13_rtree": op13_rtree,
 }
 ORACLES = {
+    "op2_lsh_forest": OP2_SQL,
     "op3_repeated_windows": OP3_SQL,
     "op4_url_list": OP4_SQL,
     "op5_positional_index": OP5_SQL,
     "op8_curriculum": OP8_SQL,
+    "op12_size_aware": OP12_SQL,
     "op13_rtree": OP13_SQL,
 }

@@ -172,6 +172,32 @@ def test_join_of_crowded_lists(spark, monkeypatch):
     assert used
 
 
+def test_forest_connects_what_edges_connect():
+    rng = np.random.default_rng(19)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        i, j = rng.integers(0, n, (2, int(rng.integers(0, 90))))
+        i, j = i[i != j], j[i != j]
+        length = rng.integers(0, 4, len(i))
+
+        def roots(edges, i=i, j=j, n=n):
+            up = list(range(n))
+            for e in edges:
+                a, b = root(up, i[e]), root(up, j[e])
+                up[max(a, b)] = min(a, b)
+            return [root(up, x) for x in range(n)]
+
+        kept = jaccard.forest(i, j, length, n)
+        assert len(kept) == len(set(kept.tolist())) == n - len(set(roots(kept)))
+        assert roots(kept) == roots(range(len(i)))
+
+
+def root(up, x):
+    while up[x] != x:
+        x = up[x]
+    return x
+
+
 def test_boundary_follows_cost():
     few, many = {n: 10 for n in range(1, 17)}, {n: 10 for n in range(1, 17)}
     assert jaccard.boundary_of_least_cost(few, {n: 10**9 for n in range(1, 17)}) == 16
