@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from natalis import Cdm, EpisodePlan, Options
 from natalis.operators import events as ev
 from natalis.operators import outcomes as oc
+from natalis.operators import temporal
 from natalis.operators.temporal import COPIES_PER_CHUNK, expand_copies
 from natalis.plans.catalogue import QUERIES
 from natalis.sources.fixtures import code_set, fixture_cdm
@@ -144,3 +145,16 @@ def test_outcomes_of_one_person_are_walked_in_parts(spark, monkeypatch):
         parts = walked[-1].filter("person_id = 1")
         assert parts.count() == 30 and max(len(r.accepted) for r in parts.collect()) <= 7
         assert parts.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_events_are_dealt_to_more_tasks_as_they_grow(spark, monkeypatch):
+    """No task by person has more rows than it may sort, and what is found stays the same."""
+    expected = episodes_of(spark)
+    rows = [(p, c, 300 * k + d) for p in range(120) for k in range(4) for c, d in (("LMP", 0), ("UP", 40), ("LB", 270))]
+    monkeypatch.setattr(temporal, "ROWS_PER_TASK", 60)
+    plan = EpisodePlan(cdm(spark, rows), codes(spark))
+    assert plan.parts == len(rows) // 60
+    for table in (plan.cleaned, plan.telling, plan.outcomes, plan.kept, plan.valid_outcomes, plan.dated):
+        tasks = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) > spark.sparkContext.defaultParallelism and max(tasks) < 5 * 60
+    assert episodes_of(spark) == expected
