@@ -1,9 +1,10 @@
 """Licence scans: a paragraph classifier confirmed by templates.
 
 A multinomial logistic regression over hashed word n-grams (one and two words) tells the licence families
-and "none" apart. It learns from the templates below (whole and in part) and from a bounded sample of the corpus' own paragraphs
-that share less than half of any template's words (``SAMPLE``). A paragraph is believed to state a licence if the probability
-of all families together reaches the least one, which is calibrated on the other half of that sample: the 99.9th percentile of what
+and "none" apart. Its n-grams are those of the templates, and words that name licences. It learns from the templates below (whole and
+in part) and from every line of the corpus that has less than half of any template's words; lines with the same of these n-grams are one
+example that weighs as many as they are, so that what the regression passes over is small; a family weighs as much as all of them. A paragraph is believed to state a licence
+if the probability of all families together reaches the least one, which is calibrated on the same lines: the 99.9th percentile of what
 families get there, at least 0.5. A believed paragraph is compared with the templates of every family that has a share of that
 probability: a family is confirmed if ``LIKE`` of a template's words, and of those of them that no other family has, stand in
 the paragraph, and as many in the template's order (a longest common subsequence) within twice its length.
@@ -35,15 +36,15 @@ from pyspark.sql import functions as F
 
 from natalis.llm.base import cut, table
 
-#: Paragraphs of the corpus in the sample, about.
-SAMPLE = 4000
 FEATURES = 1 << 14
 #: The share of a template's words that a confirmed statement has, in order too.
 LIKE = 0.8
 #: The probability from which a family is compared with its templates.
 LIKELY_FAMILY = 0.02
-#: Partitions of the bounded sample that the regression passes over again and again.
-FITTED_PARTS = 4
+#: Partitions of the examples that the regression passes over again and again, at least; examples of a partition beyond that.
+FITTED_PARTS, FITTED_ROWS = 4, 50_000
+#: Steps in which the least probability is found.
+STEPS = 10_000
 GAPS = r"[^\p{L}\p{N}.+-]+"
 #: Words of windows over joined lines, by which every template lies in a window of not many more words.
 WINDOWS = (4, 8, 16, 24)
@@ -59,6 +60,8 @@ TEMPLATES = {
     "proprietary": ["All rights reserved.", "Copyright. All rights reserved. No part of this work may be reproduced without permission."],
 }
 CUES = r"(?i)\b(licen[sc]e[ds]?|copyright|all rights reserved|spdx)\b"
+#: Words that name licences: the classifier knows them beside those of the templates.
+NAMING = ("license", "licence", "licensed", "licenced", "licenses", "licences", "copyright", "spdx")
 #: Parts of lower-cased texts of which any text with a cue has one.
 CUE_PARTS = ("licen", "copyright", "all rights reserved", "spdx")
 
@@ -68,18 +71,21 @@ def terms(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.lower(text), GAPS), lambda w: F.rtrim(w, F.lit(".-+"))), lambda w: w != "")
 
 
-def with_grams(rows: DataFrame) -> DataFrame:
-    """The rows with ``words`` and ``grams``: words, and pairs of consecutive words.
+def with_grams(rows: DataFrame, templates: Templates) -> DataFrame:
+    """The rows with ``words`` and ``grams``.
 
     Words pass through a generator, as the optimizer would else split the text anew for every use of them.
     """
-    return paired(rows.select("*", F.explode(F.array(terms(F.col("text")))).alias("words")))
+    return paired(rows.select("*", F.explode(F.array(terms(F.col("text")))).alias("words")), templates)
 
 
-def paired(rows: DataFrame) -> DataFrame:
-    """The rows (words, ...) with ``grams``."""
-    pairs = F.when(F.size("words") > 1, F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda k: F.concat_ws(" ", F.slice("words", k, 2))))
-    return rows.withColumn("grams", F.concat("words", F.coalesce(pairs, F.array().cast("array<string>"))))
+def paired(rows: DataFrame, templates: Templates) -> DataFrame:
+    """The rows (words, ...) with ``grams``: the words, and pairs of consecutive words, that the classifier knows."""
+    firsts, seconds = (sorted({g.split(" ")[k] for g in templates.pairs}) for k in (0, 1))
+    both = F.filter(F.sequence(F.lit(0), F.size("words") - 2), lambda k: F.get("words", k).isin(firsts) & F.get("words", k + 1).isin(seconds))
+    pairs = F.when(F.size("words") > 1, F.transform(both, lambda k: F.concat_ws(" ", F.slice("words", k + 1, 2))))
+    pairs = F.filter(F.coalesce(pairs, F.array().cast("array<string>")), lambda g: g.isin(templates.pairs))
+    return rows.withColumn("grams", F.concat(F.filter("words", lambda w: w.isin(templates.known)), pairs))
 
 
 def paragraphs(docs: DataFrame, id_: str, text: str) -> DataFrame:
@@ -100,6 +106,8 @@ class Templates:
             for w in r.words:
                 families.setdefault(w, set()).add(r.family)
         own = [sorted({w for w in r.words if len(families[w]) == 1}) for r in found]
+        self.known = sorted({*families, *NAMING})
+        self.pairs = sorted({" ".join(p) for r in found for p in zip(r.words, r.words[1:], strict=False)})
         self.rows = [(r.family, list(r.words), o or sorted(set(r.words))) for r, o in zip(found, own, strict=True)]
 
     def anchors(self) -> list[str]:
@@ -204,28 +212,37 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True).transform(rows)
 
 
-def train(lines: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Fits on templates and sampled paragraphs; lines are (id, place, text)."""
+def train(lines: DataFrame) -> Classifier:
+    """Fits on templates and all lines; lines are (id, place, text)."""
     templates, families = Templates(lines.sparkSession), list(TEMPLATES)
-    count = lines.count()
-    part = int(min(1.0, sample / max(1, count)) * (1 << 30))
-    hash_ = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    # equal texts once; twice the sample at most, however the hashes fall
-    chosen = with_grams(lines.where(hash_ < part).select("text").distinct().limit(2 * sample)).where(templates.nearest(F.col("words")) < 0.5)
-    chosen = cut(chosen.select("grams", (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)) == 0).alias("fitted")).coalesce(FITTED_PARTS))
+    grams = F.array_sort(F.array_distinct("grams"))
+    # what lines have of the templates is in their n-grams: lines with the same ones are one example
+    plain = with_grams(lines.select("text"), templates).groupBy(grams.alias("grams")).agg(F.count("*").cast("double").alias("weight"))
+    plain = cut(plain.where(templates.nearest(F.col("grams")) < 0.5))
+    examples, total = plain.agg(F.count("*"), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    parts = max(FITTED_PARTS, -(-examples // FITTED_ROWS))
+    plain = plain.coalesce(parts)
     # whole templates, and each without its last or first third, as texts quote them in part
-    whole = with_grams(templates.table)
+    whole = with_grams(templates.table, templates)
     thirds = F.array("grams", F.expr("slice(grams, 1, greatest(3, size(grams) * 2 div 3))"), F.expr("slice(grams, greatest(1, size(grams) div 3), size(grams))"))
     label = F.array_position(literal(families), F.col("family")) - 1
-    positive = whole.select(label.cast("double").alias("label"), F.explode(thirds).alias("grams")).withColumn("weight", F.lit(max(1.0, sample / 2 / (6 * len(families)))))
-    negative = chosen.where("fitted").select(F.lit(float(len(families))).alias("label"), "grams", F.lit(1.0).alias("weight"))
+    # every family weighs as much as all plain lines
+    weight = F.get(F.array(*[F.lit(max(1.0, total / (3 * len(TEMPLATES[f])))) for f in families]), label.cast("int"))
+    positive = whole.select(label.cast("double").alias("label"), F.explode(thirds).alias("grams"), weight.alias("weight"))
+    negative = plain.select(F.lit(float(len(families))).alias("label"), "grams", "weight")
     fit = LogisticRegression(family="multinomial", weightCol="weight", regParam=0.002, maxIter=40, aggregationDepth=2)
-    model = fit.fit(_hashed(cut(positive.union(negative).coalesce(FITTED_PARTS))))
+    model = fit.fit(_hashed(cut(positive.union(negative).coalesce(parts))))
     fitted = Classifier(model, families, templates, 0.5)
-    if model.numClasses <= len(families):  # no paragraph to learn "none" from
+    if model.numClasses <= len(families):  # no line to learn "none" from
         return fitted
-    high = fitted.probabilities(chosen.where("not fitted")).agg(F.percentile_approx("probability", 0.999)).first()[0]
-    fitted.least = max(0.5, min(0.95, high or 0.0))
+    # as many rows as steps, however many lines
+    reached = fitted.probabilities(plain).groupBy(F.ceil(F.col("probability") * STEPS).alias("step")).agg(F.sum("weight").alias("weight")).collect()
+    left = total
+    for step, weight in sorted(reached, reverse=True):
+        left -= weight
+        if left < 0.999 * total:
+            break
+    fitted.least = max(0.5, min(0.95, step / STEPS))
     return fitted
 
 
@@ -238,8 +255,8 @@ def scan(docs: DataFrame, id_: str = "doc_id", text: str = "text", classifier: C
     lines = _having(paragraphs(named, "id", "text"), telling)
     none = F.array(F.struct(F.lit(UNKNOWN).alias("family"), F.col("probability").alias("probability")))
     stated = F.inline(F.when(F.size("families") > 0, F.col("families")).otherwise(none))
-    stating = classifier.judged(with_grams(lines)).select("id", "place", "text", "families", "probability").select("id", "place", "text", stated)
-    across = classifier.judged(paired(windows(named, "id", "text", classifier.templates))).select("id", "place", "lines", "text", F.inline("families"))
+    stating = classifier.judged(with_grams(lines, classifier.templates)).select("id", "place", "text", "families", "probability").select("id", "place", "text", stated)
+    across = classifier.judged(paired(windows(named, "id", "text", classifier.templates), classifier.templates)).select("id", "place", "lines", "text", F.inline("families"))
     # a family's windows in a paragraph are one statement
     across = cut(across.groupBy("id", "place", "family").agg(F.max("lines").alias("lines"), F.max_by("text", F.struct("probability", "text")).alias("text"), F.max("probability").alias("probability"))).alias("p")
     inside = F.col("p.id").eqNullSafe(F.col("l.id")) & (F.col("l.place") >= F.col("p.place")) & (F.col("l.place") < F.col("p.place") + F.col("p.lines"))

@@ -461,6 +461,22 @@ def test_licences_need_the_order_of_words(spark, awkward, nothing):
     assert {r.id for r in licences.scan(awkward, classifier=classifier).collect() if r.confirmed} == set()
 
 
+def test_licences_are_learned_from_every_line(spark, monkeypatch):
+    """Every line counts for the model and its threshold, copies as many times, however many there are."""
+    lines = [(k, f"the fishing licence number {k + 10} of the shire") for k in range(9000)]
+    lines += [(k, f"a copy of page {k} is made") for k in range(9000, 12000)] + [(k, "the same line again") for k in range(12000, 15000)]
+    docs = spark.createDataFrame(lines + [(15000, "Released under the MIT License.")], "doc_id long, text string")
+    fitted = []
+    whole = licences._hashed
+    monkeypatch.setattr(licences, "_hashed", lambda rows: fitted.append(rows) or whole(rows))
+    classifier = licences.train(licences.paragraphs(docs, "doc_id", "text"))
+    learned = fitted[0].where(f"label = {len(licences.TEMPLATES)}").groupBy("grams").agg(F.sum("weight")).collect()
+    assert sum(r[1] for r in learned) == 15000
+    assert {r[1] for r in learned} == {9000, 3000}
+    found = {(r.id, r.family, r.confirmed) for r in licences.scan(docs, classifier=classifier).collect()}
+    assert found == {(15000, "mit", True)}
+
+
 def test_licences_wrapped_over_lines(spark):
     """Statements whose lines are each below a template, alone, behind comment marks and inside longer paragraphs."""
     mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
