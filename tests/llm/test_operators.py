@@ -630,7 +630,7 @@ def test_curriculum(spark, awkward, nothing):
 @pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op") and n[2].isdigit()))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = entry.queries()[name](spark, SF)
     columns = sorted(found.columns)
