@@ -45,7 +45,7 @@ WORDS, SHARE = 5, 80
 MOST_LIGHT = 16
 #: Cells in which shingles are counted to tell rare ones; the order is one for all sets, however full the cells.
 CELL_BITS = 18
-#: Bits of a parity sketch.
+#: Bits of a parity sketch, at least: beyond, sketches have one for every two shingles, as a short one tells no large sets apart.
 SKETCH = 1024
 #: Lists by which a set is joined first: so many of its rarest shingles with a list, and so many of its commonest.
 FIRST_LISTS = 2
@@ -88,11 +88,17 @@ def _choices(n: int, size: int) -> np.ndarray:
 
 
 def _sketch(shingles: np.ndarray) -> bytes:
-    """The parity of the number of shingles in each of ``SKETCH`` cells."""
-    odd = np.bincount((shingles & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    """The parity of the number of shingles in each of ``SKETCH`` cells or of a larger power of two."""
+    cells = max(SKETCH, 1 << max(len(shingles) // 2 - 1, 0).bit_length())
+    odd = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """The sketches of the same sets in fewer cells, of so many bytes: a row of numbers each."""
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, width // 8), axis=0) for s in sketches])
+
+
 def _described(docs: DataFrame, size: int) -> DataFrame:
     """(id, n, one, two, sketch): set size, 128 bits that tell sets apart, and the parity sketch."""
 
@@ -187,10 +193,23 @@ def light_links(docs: DataFrame, boundary: int, size: int = WORDS, share: int =
     return found.select(F.least("id", "s.id").alias("a"), F.greatest("id", "s.id").alias("b")).distinct()
 
 
-def _pairs(region: np.ndarray, n: np.ndarray, sketches: np.ndarray, share: int, boundary: int, component: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pairs(region: np.ndarray, n: np.ndarray, sketches: list[bytes], share: int, boundary: int, component: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Row numbers i, j of one region that may be linked, and their differing bits: one is heavy, components differ, and
     neither sizes nor sketches rule them out. A set's parity differs in no more cells than it has differing shingles.
+    Two sketches are compared in the cells of the shorter one.
     """
+    widths = np.array([len(s) for s in sketches])
+    for width in np.unique(widths).tolist():
+        short = widths == width
+        rows = np.flatnonzero(short | ((widths > width) & (share * n <= 100 * n[short].max())))
+        bits = _folded([sketches[r] for r in rows], width)
+        parts = None if component is None else component[rows]
+        for i, j, differ in _near(region[rows], n[rows], bits, short[rows], share, boundary, parts):
+            yield rows[i], rows[j], differ
+
+
+def _near(region: np.ndarray, n: np.ndarray, bits: np.ndarray, short: np.ndarray, share: int, boundary: int, component: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs of ``_pairs`` of which one is ``short``, by sketches of equal width."""
     last = np.searchsorted(region, region, "right")
     i = np.arange(len(region))
     for step in range(1, len(region)):
@@ -198,21 +217,17 @@ def _pairs(region: np.ndarray, n: np.ndarray, sketches: np.ndarray, share: int,
         if not len(i):
             return
         j = i + step
-        may = (100 * np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j])) & (np.maximum(n[i], n[j]) > boundary)
+        may = (short[i] | short[j]) & (100 * np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j])) & (np.maximum(n[i], n[j]) > boundary)
         if component is not None:
             may &= component[i] != component[j]
         a, b = i[may], j[may]
         if len(a):
-            differ = np.bitwise_count(sketches[a] ^ sketches[b]).sum(1, dtype=np.int64)
+            differ = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64)
             close = differ <= n[a] + n[b] - 2 * required(n[a], n[b], share)
             if close.any():
                 yield a[close], b[close], differ[close]
 
 
-def _sketches(group: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(group.num_rows, -1)
-
-
 def forest(i: np.ndarray, j: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
     """The numbers of the edges (i, j) between n nodes that make a shortest forest of what they connect.
 
@@ -248,7 +263,7 @@ def _trees(rows: DataFrame, share: int, boundary: int) -> DataFrame:
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "region"):
             region, ids, n = (group.column(k).to_numpy() for k in ("region", "id", "n"))
-            found = list(_pairs(region, n, _sketches(group), share, boundary))
+            found = list(_pairs(region, n, group.column("sketch").to_pylist(), share, boundary))
             if found:
                 i, j, differ = (np.concatenate(x) for x in zip(*found, strict=True))
                 kept = forest(i, j, differ, len(ids))
@@ -264,7 +279,7 @@ def _across(rows: DataFrame, share: int, boundary: int) -> DataFrame:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "region"):
             region, ids, n, component = (group.column(k).to_numpy() for k in ("region", "id", "n", "component"))
-            for i, j, _ in _pairs(region, n, _sketches(group), share, boundary, component):
+            for i, j, _ in _pairs(region, n, group.column("sketch").to_pylist(), share, boundary, component):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["a", "b"])
 
     return _sorted_map(rows, "region", pairs, "a long, b long").distinct()

@@ -172,6 +172,16 @@ def test_join_of_crowded_lists(spark, monkeypatch):
     assert used
 
 
+def test_sketches_tell_long_sets_apart(spark):
+    """Unrelated sets of thousands of shingles are no candidates, and linked ones meet in sketches of different widths."""
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (900, 2500, 2600, 4000, 4200, 9000, 9100) * 3]
+    sets += [sets[4][:3900], sets[5][:8000]]
+    rows = [(1, k, k, len(s), bytearray(jaccard._sketch(s))) for k, s in enumerate(sets)]
+    found = jaccard._across(spark.createDataFrame(rows, "region long, id long, component long, n long, sketch binary"), 80, 16)
+    assert {tuple(r) for r in found.collect()} == {(4, 21), (5, 22)}
+
+
 def test_forest_connects_what_edges_connect():
     rng = np.random.default_rng(19)
     for _ in range(200):
