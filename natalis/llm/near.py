@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm.base import connected, cut, table
+from natalis.llm.base import LINKS_PER_TASK, connected, cut, gathered, table
 from natalis.llm.textarrays import LOWER, flat, mixed, slices, span_hashes, window_hashes, words
 
 WORDS = 5
@@ -55,6 +55,8 @@ PAIRS_FIRST, PAIRS_SECOND = 64, 256
 BLOCK, PARTNERS = 1024, 64
 #: Ids up to which their documents are found by a broadcast (some 32 MB); beyond, by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Documents, and pairs to verify, whose rows a task reads, about, where they are joined and counted.
+DOCS_PER_TASK, PAIRS_PER_TASK = 4096, 16_384
 SLICE = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -201,12 +203,12 @@ def _sorted_map(rows: DataFrame, key: str, function, fields: str, *more: str) ->
     return rows.repartition(key).sortWithinPartitions(key, *more).mapInArrow(function, fields)
 
 
-def _measured(rows: DataFrame, per_member: int) -> DataFrame:
-    """The rows (region, id, component, ...) of regions of several components, with size, largest component, and whether the pairs fit."""
-    parts = rows.groupBy("region", "component").agg(F.count("*").alias("c"))
+def _measured(rows: DataFrame, per_member: int, docs: int) -> DataFrame:
+    """The rows (region, id, component, ...) of regions of several components, with size, largest component, and whether the pairs fit; of ``docs`` documents."""
+    parts = gathered(rows.groupBy("region", "component").agg(F.count("*").alias("c")), docs, DOCS_PER_TASK)
     stats = parts.groupBy("region").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max_by("component", F.struct("c", "component")).alias("major"), F.count("*").alias("parts"))
     stats = stats.where("parts > 1").select("region", "m", "major", ((F.col("m") * F.col("m") - F.col("squares")) <= 2 * per_member * F.col("m")).alias("fits"))
-    return cut(rows.join(stats, "region").select(*rows.columns, "m", "major", "fits"))
+    return cut(gathered(rows.join(stats, "region").select(*rows.columns, "m", "major", "fits"), docs, DOCS_PER_TASK))
 
 
 def _fitting(rows: DataFrame) -> DataFrame:
@@ -233,20 +235,21 @@ def _blocks(left: DataFrame, per_member: int, leaders: bool) -> DataFrame:
     return left.select(F.xxhash64("region", "block").alias("region"), "id", "component")
 
 
-def _marked(regions: DataFrame, nodes: DataFrame) -> DataFrame:
-    return regions.distinct().join(nodes.select("id", "n", "marks"), "id").select("id", "region", "component", "n", "marks")
+def _marked(regions: DataFrame, nodes: DataFrame, docs: int) -> DataFrame:
+    marked = gathered(regions.distinct(), docs, DOCS_PER_TASK).join(nodes.select("id", "n", "marks"), "id")
+    return gathered(marked.select("id", "region", "component", "n", "marks"), docs, DOCS_PER_TASK)
 
 
-def _regions(nodes: DataFrame, trees: int, per_member: int, depths: tuple[int, ...] = DEPTHS) -> tuple[DataFrame, DataFrame]:
+def _regions(nodes: DataFrame, docs: int, trees: int, per_member: int, depths: tuple[int, ...] = DEPTHS) -> tuple[DataFrame, DataFrame]:
     """(region, id, component) of all regions whose pairs fit at one of the depths, and (region, id, component, m) of those that never do.
 
-    Nodes are (id, component, n, keys, marks). A region of one component is left out.
+    Nodes are (id, component, n, keys, marks) of ``docs`` documents. A region of one component is left out.
     """
     out = None
     left = nodes.select("id", "component", F.posexplode(F.expr(f"transform(sequence(0, {trees - 1}), t -> slice(keys, t * {len(DEPTHS)} + 1, {len(DEPTHS)}))")).alias("tree", "prefixes"))
     for level in range(len(depths)):
         rows = left.select("id", "component", "prefixes", F.col("prefixes")[level].alias("region"))
-        rows = _measured(rows, per_member)
+        rows = _measured(rows, per_member, docs)
         fitting = _fitting(rows)
         out = fitting if out is None else out.union(fitting)
         left = rows.where("not fits").select("id", "component", "prefixes", "region", "m")
@@ -292,7 +295,7 @@ def _filtered(crowded: DataFrame, nodes: DataFrame, docs: DataFrame, size: int,
     crowded = cut(crowded.select("id", "component").distinct().join(nodes.select("id", "n", "marks"), "id"))
     members = crowded.count()
     known = F.broadcast(crowded) if members <= BROADCAST_IDS // 8 else crowded
-    rows = _measured(_rarest(crowded.select("id"), docs, size, share).join(known, "id").select("region", "id", "component"), PAIRS_SECOND)
+    rows = _measured(_rarest(crowded.select("id"), docs, size, share).join(known, "id").select("region", "id", "component"), PAIRS_SECOND, members)
     regions = _fitting(rows).union(_blocks(rows.where("not fits"), PAIRS_SECOND, False))
     regions = regions.select("region", "id").join(known, "id").select("id", "region", "component", "n", "marks")
     many = np.uint64(max(1, -(-members // CELL)))
@@ -310,7 +313,7 @@ def _filtered(crowded: DataFrame, nodes: DataFrame, docs: DataFrame, size: int,
     return found.join(known, "id").select("id", "region", "component", "n", "marks")
 
 
-def _nearest(regions: DataFrame, share: int) -> DataFrame:
+def _nearest(regions: DataFrame, docs: int, share: int) -> DataFrame:
     """(a, b): every node's most similar candidate of those with smaller ids, which makes a tree of what is linked."""
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +331,7 @@ def _nearest(regions: DataFrame, share: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(partner[some]), pa.array(most[some])], names=["a", "b", "agree"])
 
     found = _sorted_map(regions, "region", best, "a long, b long, agree int")
-    found = found.groupBy("a").agg(F.max_by("b", F.struct("agree", -F.col("b"))).alias("b"))
+    found = gathered(found.groupBy("a").agg(F.max_by("b", F.struct("agree", -F.col("b"))).alias("b")), docs, DOCS_PER_TASK)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -427,10 +430,13 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataFr
     Partners of a document are dealt to groups of about ``PARTNERS``, each with a copy of the document's set.
     """
     pairs = cut(pairs)
+    number = pairs.count()
+    pairs = gathered(pairs, number, PAIRS_PER_TASK)
     counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
     dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PARTNERS)).alias("part"))
-    dealt = dealt.select(F.xxhash64("a", "part").alias("group"), "a", "b")
-    members = dealt.select("group", "a", F.lit(False).alias("partner"), F.col("a").alias("id")).distinct().union(dealt.select("group", "a", F.lit(True), "b"))
+    dealt = gathered(dealt.select(F.xxhash64("a", "part").alias("group"), "a", "b"), number, PAIRS_PER_TASK)
+    members = dealt.select("group", "a", F.lit(False).alias("partner"), F.col("a").alias("id")).distinct()
+    members = gathered(members, number, PAIRS_PER_TASK).union(dealt.select("group", "a", F.lit(True), "b"))
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: tuple[int, int, list[np.ndarray]] = (0, 0, [])
         for batch in batches:
@@ -457,9 +463,11 @@ def _uphill(links: DataFrame) -> DataFrame:
     Nodes further down get an ancestor of their own; the second round and ``connected`` join them.
     """
     up = cut(links.select(F.col("b").alias("id"), F.col("a").alias("component")))
+    number = up.count()
+    up = gathered(up, number, LINKS_PER_TASK)
     for _ in range(5):
         above = up.select(F.col("id").alias("component"), F.col("component").alias("next"))
-        up = up.join(above, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
+        up = gathered(up.join(above, "component", "left").select("id", F.coalesce("next", "component").alias("component")), number, LINKS_PER_TASK)
     return up
 
 
@@ -468,14 +476,16 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", si
     docs = docs.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text"))
     described = cut(describe(docs, size))
     linkable = described.where("n > 0 and id is not null")
-    nodes = cut(linkable.groupBy("one", "two", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("marks").alias("marks")))
+    count = described.count()
+    nodes = linkable.groupBy("one", "two", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
+    nodes = cut(gathered(nodes, count, DOCS_PER_TASK))
     alone = nodes.withColumn("component", F.col("id")).select("id", "component", "n", "keys", "marks")
-    regions, left = _regions(alone, TREES_FIRST, PAIRS_FIRST)
-    links = verified(_nearest(_marked(regions.union(_blocks(left, PAIRS_FIRST, True)), alone), share), docs, size, share)
+    regions, left = _regions(alone, count, TREES_FIRST, PAIRS_FIRST)
+    links = verified(_nearest(_marked(regions.union(_blocks(left, PAIRS_FIRST, True)), alone, count), count, share), docs, size, share)
     stars = cut(_uphill(links))
     joined = nodes.join(stars, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "n", "keys", "marks")
-    regions, crowded = _regions(joined, TREES, PAIRS_SECOND, tuple(d for d in DEPTHS if d <= DEEPEST))
-    narrowed = _candidates(_marked(regions, joined), share)
+    regions, crowded = _regions(joined, count, TREES, PAIRS_SECOND, tuple(d for d in DEPTHS if d <= DEEPEST))
+    narrowed = _candidates(_marked(regions, joined, count), share)
     if not crowded.isEmpty():
         narrowed = narrowed.unionByName(_filtered(crowded, joined, docs, size, share))
     narrowed = cut(narrowed)

@@ -155,6 +155,24 @@ def test_connected(spark):
     assert found == {**{k: (k - 1) // 10 * 10 + 1 for k in range(1, 41)}, 50: 1}
 
 
+def test_few_links_make_few_tasks(spark):
+    """Few rows are gathered in as few tasks and files, however many partitions a shuffle has."""
+    links = spark.createDataFrame([(k, k + 1) for k in range(1, 40) if k % 10], "a long, b long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = connected(links)
+        assert found.rdd.getNumPartitions() < 5
+        assert {r.id: r.component for r in found.collect()} == {k: (k - 1) // 10 * 10 + 1 for k in range(1, 41)}
+        docs = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(k % 4, 40 + k % 4))) for k in range(20)], "id long, text string")
+        regions, _ = near._regions(near.describe(docs, 5).withColumn("component", F.col("id")), 20, 2, 64)
+        assert regions.rdd.getNumPartitions() < 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # -- repeated windows and byte strings
 
 
