@@ -53,6 +53,8 @@ FIRST_LISTS = 2
 TOGETHER, BLOCK = 512, 1024
 #: Pairs of different components for each member up to which a list is scanned as it is.
 PAIRS = 256
+#: Regions before its own that a row knows, to tell pairs that were met there.
+EARLIER = 16
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -273,14 +275,35 @@ def _trees(rows: DataFrame, share: int, boundary: int) -> DataFrame:
     return _sorted_map(rows, "region", trees, "a long, b long").where("a < b").distinct()
 
 
+def _known(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The earlier regions of every row, side by side, and which of these places are taken."""
+    lists = group.column("earlier").combine_chunks()
+    taken = np.arange(EARLIER) < lists.value_lengths().to_numpy()[:, None]
+    out = np.zeros(taken.shape, np.int64)
+    out[taken] = lists.flatten().to_numpy()
+    return out, taken
+
+
 def _across(rows: DataFrame, share: int, boundary: int) -> DataFrame:
-    """(a, b): candidate pairs of different components."""
+    """(a, b): candidate pairs of different components, given by the first region in which the two meet.
+
+    In a region a pair of equal sides is left to another block of the same region, and one with an earlier region in common to
+    that one; a pair whose common regions all lie further back is given again. Rows without sides and earlier regions are all compared.
+    """
+    plain = {"earlier": F.array().cast("array<long>"), "side": F.lit(-1)}
+    rows = rows.withColumns({name: value for name, value in plain.items() if name not in rows.columns})
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "region"):
-            region, ids, n, component = (group.column(k).to_numpy() for k in ("region", "id", "n", "component"))
+            region, ids, n, component, side = (group.column(k).to_numpy() for k in ("region", "id", "n", "component", "side"))
+            earlier, taken = _known(group)
             for i, j, _ in _pairs(region, n, group.column("sketch").to_pylist(), share, boundary, component):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["a", "b"])
+                own = (side[i] != side[j]) | (side[i] < 0)
+                i, j = i[own], j[own]
+                met = ((earlier[i][:, :, None] == earlier[j][:, None, :]) & taken[i][:, :, None] & taken[j][:, None, :]).any((1, 2))
+                i, j = i[~met], j[~met]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["a", "b"])
 
     return _sorted_map(rows, "region", pairs, "a long, b long").distinct()
 
@@ -333,21 +356,28 @@ def _measured(rows: DataFrame) -> DataFrame:
     return cut(rows.join(stats, "region"))
 
 
-def _dealt(measured: DataFrame) -> DataFrame:
-    """(region, id, component) of regions that fit: members of the largest component in blocks, the few others in each of them."""
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.array(F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    dealt = F.when(F.col("component") == F.col("major"), own).otherwise(F.sequence(F.lit(0), blocks - 1))
-    rows = measured.where("fits").select("region", "id", "component", F.explode(dealt).alias("block"))
-    return rows.select(F.xxhash64("region", "block").alias("region"), "id", "component")
+def _with_earlier(measured: DataFrame) -> DataFrame:
+    """The rows with the regions that come just before their own among those of their id; all regions in which ids meet are given."""
+    before = Window.partitionBy("id").orderBy("region").rowsBetween(-EARLIER, -1)
+    # rows of equal id and region aren't earlier than each other
+    return measured.withColumn("earlier", F.collect_list("region").over(before)).withColumn("earlier", F.expr("filter(earlier, r -> r < region)"))
+
 
+def _dealt(measured: DataFrame) -> DataFrame:
+    """(region, id, component, earlier, side) of measured regions in blocks.
 
-def _all_against_all(measured: DataFrame) -> DataFrame:
-    """(region, id, component) of regions that don't fit: every two blocks share a region."""
+    Of regions that fit, members of the largest component are dealt to blocks and the few others are in each of them; of others, every
+    two blocks share a region. Two rows are met here if their sides differ or are -1; other pairs meet in another block.
+    """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    rows = measured.where("not fits").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    cells = F.expr("transform(sequence(0, blocks - 1), o -> struct(least(block, o) as low, greatest(block, o) as high))")
-    return rows.select("region", "id", "component", F.explode(cells).alias("cell")).select(F.xxhash64("region", "cell.low", "cell.high").alias("region"), "id", "component")
+    rows = measured.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("large", F.col("component") == F.col("major"))
+    cells = """
+        CASE WHEN fits AND large THEN array(struct(block AS low, block AS high, 0 AS side))
+             WHEN fits THEN transform(sequence(0, blocks - 1), o -> struct(o AS low, o AS high, IF(o = 0, -1, 1) AS side))
+             ELSE transform(sequence(0, blocks - 1), o -> struct(least(block, o) AS low, greatest(block, o) AS high, CASE WHEN block = o THEN -1 WHEN block < o THEN 0 ELSE 1 END AS side)) END"""
+    rows = rows.select("region", "id", "component", "earlier", F.explode(F.expr(cells)).alias("cell"))
+    return rows.select(F.xxhash64("region", "cell.low", "cell.high").alias("region"), "id", "component", "earlier", F.col("cell.side").alias("side"))
 
 
 def _by_two(crowded: DataFrame, postings: DataFrame, components: DataFrame) -> DataFrame:
@@ -365,19 +395,17 @@ def _with_components(rows: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def _candidates(lists: DataFrame, components: DataFrame, all_postings) -> DataFrame:
-    """(region, id, component): regions in which every linked pair of different components with a heavy set meets.
+    """(region, id, component, earlier, side): regions in which every linked pair of different components with a heavy set meets.
 
     ``all_postings`` gives the postings of some ids, those of shingles without a list and the one more included.
     """
     lists = lists.select(F.col("shingle").alias("region"), "id", "n")
     measured = _measured(_with_components(lists, components))
-    out = [_dealt(measured)]
     crowded = measured.where("not fits")
     if not crowded.isEmpty():
         postings = all_postings(cut(crowded.select("id").distinct()))
-        deeper = _measured(_by_two(crowded, postings, components))
-        out += [_dealt(deeper), _all_against_all(deeper)]
-    return reduce(DataFrame.union, out)
+        measured = measured.where("fits").unionByName(_measured(_by_two(crowded, postings, components)))
+    return _dealt(_with_earlier(measured))
 
 
 def _of_one_id(linkable: DataFrame, nodes: DataFrame) -> DataFrame:

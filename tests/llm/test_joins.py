@@ -182,6 +182,49 @@ def test_sketches_tell_long_sets_apart(spark):
     assert {tuple(r) for r in found.collect()} == {(4, 21), (5, 22)}
 
 
+def recorded(monkeypatch):
+    """What the mapped functions of the join return from now on, duplicates included."""
+    made = []
+    whole = jaccard._sorted_map
+    monkeypatch.setattr(jaccard, "_sorted_map", lambda *x: made.append(whole(*x)) or made[-1])
+    return made
+
+
+@pytest.mark.parametrize("pairs", [2, 10**6])
+def test_pairs_are_candidates_once(spark, monkeypatch, pairs):
+    """Every pair of two components that shares a region is found, whatever the blocks, and but once where members know all their regions."""
+    monkeypatch.setattr(jaccard, "PAIRS", pairs)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    rng = np.random.default_rng(23)
+    members = {r: rng.choice(60, int(rng.integers(1, 30)), False).tolist() for r in rng.integers(-(2**62), 2**62, 12).tolist()}
+    rows = [(r, i, i // 3 if i % 2 else 90) for r, ids in members.items() for i in ids]
+    regions = spark.createDataFrame([*rows, rows[0]], "region long, id long, component long").repartition(3)
+    nodes = spark.createDataFrame([(i, 20, bytearray(jaccard._sketch(np.arange(20, dtype=np.uint64)))) for i in range(60)], "id long, n long, sketch binary")
+    component = {i: c for _, i, c in rows}
+    want = {(i, j) for ids in members.values() for i in ids for j in ids if i < j and component[i] != component[j]}
+    measured = jaccard._measured(regions)
+    assert {r.fits for r in measured.select("fits").distinct().collect()} == ({True} if pairs > 2 else {True, False})
+    for earlier in (2, 16):
+        monkeypatch.setattr(jaccard, "EARLIER", earlier)
+        made = recorded(monkeypatch)
+        found = jaccard._across(jaccard._with_sketches(jaccard._dealt(jaccard._with_earlier(measured.distinct())), nodes), 80, 16)
+        assert Counter(tuple(r) for r in found.collect()) == Counter(want)
+        assert earlier == 2 or made[0].count() == len(want)
+        again = jaccard._across(jaccard._with_sketches(jaccard._dealt(jaccard._with_earlier(measured)), nodes), 80, 16)
+        assert {tuple(r) for r in again.collect()} == want
+
+
+def test_near_copies_are_candidates_of_few_lists(spark, monkeypatch):
+    """Near copies of one template meet in many lists; the candidate rows are few more than the pairs."""
+    monkeypatch.setattr(jaccard, "PAIRS", 1)
+    monkeypatch.setattr(jaccard, "TOGETHER", 8)
+    rng = np.random.default_rng(37)
+    docs = spark.createDataFrame(list(enumerate(varied(rng, [f"t{k}" for k in range(150)], 200, 9, 10**9))), "doc_id long, text string").repartition(3)
+    made = recorded(monkeypatch)
+    check_join(docs)
+    assert 100 < made[-1].count() <= 1.5 * made[-1].distinct().count()
+
+
 def test_forest_connects_what_edges_connect():
     rng = np.random.default_rng(19)
     for _ in range(200):
