@@ -259,31 +259,33 @@ def _regions(nodes: DataFrame, docs: int, trees: int, per_member: int, depths: t
 def _rarest(ids: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
     """(id, region): of every document's shingles the rarest that any set as similar as ``share`` percent must share one of.
 
-    Rare by counts in cells of hashes, equal counts by hash, so that all sets have the same order.
+    Rare by counts in cells of hashes, equal counts by hash, so that all sets have the same order. Texts are shingled in the
+    step that counts and again in the one that ranks: a task of two Python steps would run, and keep, two Python workers.
     """
-    sets = _sets(ids, ids.count(), docs, size)
+    wanted = _wanted(ids, ids.count(), docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
-            for shingles in batch.column("shingles").to_pylist():
-                total[(np.frombuffer(shingles, np.uint64) >> np.uint64(64 - CELL_BITS)).astype(np.int64)] += 1
+            for part in slices(batch, "text", SLICE):
+                for values in shingle_sets(part, "text", size):
+                    total[(values >> np.uint64(64 - CELL_BITS)).astype(np.int64)] += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
-    found = sets.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    found = wanted.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << CELL_BITS, np.int64)
     counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for id_, shingles in zip(batch.column("id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
-                values = np.frombuffer(shingles, np.uint64)
-                order = np.lexsort((values, counts[(values >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))
-                kept = values[order[: len(values) - -(-share * len(values) // 100) + 1]].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kept), id_, np.int64)), pa.array(kept)], names=["id", "region"])
+            for part in slices(batch, "text", SLICE):
+                for id_, values in zip(part.column("id").to_pylist(), shingle_sets(part, "text", size), strict=True):
+                    order = np.lexsort((values, counts[(values >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))
+                    kept = values[order[: len(values) - -(-share * len(values) // 100) + 1]].astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kept), id_, np.int64)), pa.array(kept)], names=["id", "region"])
 
-    return sets.mapInArrow(first, "id long, region long")
+    return wanted.mapInArrow(first, "id long, region long")
 
 
 def _filtered(crowded: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
@@ -412,16 +414,20 @@ def _with_sets(rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     return rows.join(_sets(ids, ids.count(), docs, size), "id")
 
 
+def _wanted(ids: DataFrame, count: int, docs: DataFrame) -> DataFrame:
+    """The documents with so many ids."""
+    return docs.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def _sets(ids: DataFrame, count: int, docs: DataFrame, size: int) -> DataFrame:
     """(id, shingles) of the documents with so many ids."""
-    wanted = docs.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, "id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part, "text", size)], pa.binary())], names=["id", "shingles"])
 
-    return wanted.mapInArrow(sets, "id long, shingles binary")
+    return _wanted(ids, count, docs).mapInArrow(sets, "id long, shingles binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:

@@ -149,6 +149,16 @@ def test_rarest_shingles_miss_no_pair(spark):
     assert all(len(rare[k]) < len(sets[k]) / 3 for k in sets)
 
 
+def test_rarest_shingles_take_one_python_worker(spark):
+    """A task that ranks shingles has one Python step, so that an executor doesn't keep two workers for each of its cores."""
+    rows = [(k, None if k == 3 else f"a b c d e f g{k % 5} h i j k l{k}") for k in range(30)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    found = near._rarest(docs.select("id"), docs, 5, 75)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    kept = [r.id for r in found.collect()]
+    assert {i: kept.count(i) for i in kept} == {i: len(shingles(t)) - -(-75 * len(shingles(t)) // 100) + 1 for i, t in rows if t}
+
+
 def test_connected(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(1, 40) if k % 10] + [(50, 3), (3, 50), (7, 7)], "a long, b long")
     found = {r.id: r.component for r in connected(links).collect()}
